@@ -52,12 +52,12 @@ def orphan_keys(child: DataFrame, key: str, parent: DataFrame) -> DataFrame:
     costs one row there; a NULL key has no parent and is reported.
     """
     per_key = child.groupBy(key).agg(F.count(F.lit(1)).alias("row_count"))
-    return per_key.join(parent.select(key).distinct(), key, "left_anti")
+    return per_key.join(parent.select(key), key, "left_anti")
 
 
 def orphan_rows(child: DataFrame, key: str, parent: DataFrame) -> DataFrame:
     """The offending rows themselves, for samples and quarantine."""
-    return child.join(parent.select(key).distinct(), key, "left_anti")
+    return child.join(parent.select(key), key, "left_anti")
 
 
 def source_overlap(

@@ -25,7 +25,7 @@ def bottom_n(df: DataFrame, measure: str, key: str, n: int) -> DataFrame:
 def top_and_bottom(df: DataFrame, measure: str, key: str, n: int = 5) -> DataFrame:
     """Best and worst ``n``, labelled by their side of the median of those 2n rows."""
     ends = top_n(df, measure, key, n).unionByName(bottom_n(df, measure, key, n))
-    middle = ends.agg(F.median(measure)).scalar()
+    middle = F.median(measure).over(Window.partitionBy())
     return ends.withColumn(
         "group_label",
         F.when(F.col(measure) > middle, f"Top {n}").otherwise(f"Bottom {n}"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.functions.draws import DRAW_RANGE
 from ledgermill.operators.selection import nth_smallest
+from ledgermill.sources.paths import stored
 
 
 def sample_keys(df: DataFrame, key: str, draw: Column, fraction: float) -> DataFrame:
@@ -18,17 +19,19 @@ def sample_keys(df: DataFrame, key: str, draw: Column, fraction: float) -> DataF
 def sample_keys_exact(df: DataFrame, key: str, draw: Column, fraction: float) -> DataFrame:
     """Exactly ``int(fraction * n)`` of the n distinct keys, without replacement.
 
-    The cut-off draw comes from slice counts, so the keys are never sorted in
-    one task. Only keys that share the cut-off draw are ranked.
+    The distinct keys are stored once. The cut-off draw comes from slice
+    counts, so the keys are never sorted in one task; only keys that share the
+    cut-off draw are ranked.
     """
-    keys = df.select(key).distinct()
+    keys = stored(df.select(key).distinct().withColumn("_draw", draw), "sample-keys")
     size = int(keys.count() * fraction)
     if size == 0:
-        return keys.limit(0)
-    cutoff = nth_smallest(keys, draw, size - 1)
-    below = keys.filter(draw < cutoff).count()
-    ties = keys.filter(draw == cutoff).orderBy(key).limit(size - below)
-    return keys.filter(draw < cutoff).unionByName(ties)
+        return keys.select(key).limit(0)
+    draws = keys.select(F.col("_draw").alias("v"), F.lit(1).alias("n"))
+    cutoff = nth_smallest(draws, size - 1)
+    below = keys.filter(F.col("_draw") < cutoff)
+    ties = keys.filter(F.col("_draw") == cutoff).orderBy(key).limit(size - below.count())
+    return below.unionByName(ties).select(key)
 
 
 def sample_rows(df: DataFrame, key: str, draw: Column, n: int) -> DataFrame:
@@ -37,16 +40,18 @@ def sample_rows(df: DataFrame, key: str, draw: Column, n: int) -> DataFrame:
 
 
 def contiguous_sample(
-    df: DataFrame, ordinal: str, n: int | None, seed: int = 0
+    df: DataFrame, ordinal: str, n: int | None, seed: int = 0, total: int | None = None
 ) -> DataFrame:
     """``n`` neighbouring rows from a seeded offset; all rows when ``n`` is None.
 
     ``ordinal`` counts the rows from zero in source order. The filter is a plain
-    range on it, so it prunes where the ordinal is stored.
+    range on it, so it prunes where the ordinal is stored. ``total`` is the row
+    count when the caller knows it.
     """
     if n is None:
         return df
-    total = df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    if total is None:
+        total = df.count()
     spare = max(0, total - n)
     start = (seed * 1103515245 + 12345) % (spare + 1)
     return df.filter((F.col(ordinal) >= start) & (F.col(ordinal) < start + n))

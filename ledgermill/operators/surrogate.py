@@ -2,7 +2,7 @@
 
 Rows are spread over hash buckets of a unique key, numbered inside the bucket,
 and shifted by the running total of the bucket sizes. The only single-task step
-sums ``buckets`` numbers. Numbers depend on the keys alone, so a retried task
+sums ``buckets`` numbers, and that table of at most ``buckets`` rows is broadcast. Numbers depend on the keys alone, so a retried task
 gives the same ids.
 """
 
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ledgermill.functions.bands import as_column
 
 BUCKETS = 1024
+MAX_BUCKETS = 100_000
 
 
 def sequential_ids(
@@ -24,6 +25,8 @@ def sequential_ids(
     name: str = "row_number",
 ) -> DataFrame:
     """Number rows ``1..n`` by (bucket, order); ``order`` must be unique per row."""
+    if buckets > MAX_BUCKETS:
+        raise ValueError(f"at most {MAX_BUCKETS} buckets")
     placed = df.withColumn("_bucket", F.pmod(bucket, F.lit(buckets)))
     sizes = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
     running = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -33,7 +36,7 @@ def sequential_ids(
     inside = Window.partitionBy("_bucket").orderBy(*order)
     return (
         placed.withColumn("_place", F.row_number().over(inside))
-        .join(starts, "_bucket")
+        .join(F.broadcast(starts), "_bucket")
         .withColumn(name, F.col("_start") + F.col("_place"))
         .drop("_bucket", "_place", "_start")
     )

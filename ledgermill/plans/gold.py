@@ -7,6 +7,7 @@ joins meet one row per key.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -45,9 +46,12 @@ def customer_profitability(
     *,
     cost_per_transaction: float = COST_PER_TRANSACTION,
     missing_as_zero: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Revenue, estimated cost and margin of every customer.
 
+    ``keep`` carries customer attributes along, which saves joining them again.
+
     A customer without transactions has unknown costs and profit;
     ``missing_as_zero`` counts them as zero transactions instead.
     """
@@ -56,7 +60,7 @@ def customer_profitability(
         F.count("transaction_id").alias("transaction_count")
     )
     joined = (
-        customers.select("customer_id", "customer_segment")
+        customers.select("customer_id", "customer_segment", *keep)
         .join(earned, "customer_id", "left")
         .join(activity, "customer_id", "left")
     )
@@ -76,6 +80,7 @@ def customer_profitability(
             "net_profit",
             "profit_margin",
             F.lit(as_of).alias("kpi_date"),
+            *keep,
         )
     )
 

@@ -52,7 +52,7 @@ def integrate_raw(
     """
     raw = files.read_raw(spark, raw_path)
     if limit is not None:
-        raw = contiguous_sample(files.with_ordinal(raw), "ordinal", limit, seed)
+        raw = contiguous_sample(files.with_ordinal(raw), "ordinal", limit, seed, raw.count())
     cleaned_path = f"{out_path}/cleaned"
     overwrite_parquet(integrate.clean_raw(raw, as_of, keep=files.FILE_ORDER), cleaned_path)
     cleaned = spark.read.parquet(cleaned_path)

@@ -24,6 +24,7 @@ from ledgermill.functions.money import (
 )
 from ledgermill.functions.text import mapped
 from ledgermill.operators.allocation import allocate
+from ledgermill.operators.joins import broadcast_checked
 from ledgermill.operators.ranking import (
     distinguish_labels,
     latest_n,
@@ -244,7 +245,7 @@ CUSTOMER_ATTRIBUTES = [
 
 
 def customer_details(customer_mart: DataFrame, customers: DataFrame) -> DataFrame:
-    """Customer mart with its tier and the customer's own attributes."""
+    """A stored customer mart with its tier and the customer's own attributes."""
     present = [c for c in [*CUSTOMER_ATTRIBUTES, "gender", "country"] if c in customers.columns]
     return customer_mart.withColumn("value_tier", bands.value_tier()).join(
         customers.select("customer_id", *present), "customer_id", "left"
@@ -455,9 +456,14 @@ def alert_counts(raised: DataFrame) -> DataFrame:
 # --- documented extras ------------------------------------------------------
 
 
-def premium_without_active_loan(customers: DataFrame, loans: DataFrame) -> DataFrame:
-    """Premium customers to offer a loan to."""
-    borrowers = loans.filter(F.col("status") == "ACTIVE").select("customer_id").distinct()
+def premium_without_active_loan(
+    customers: DataFrame, loans: DataFrame, loan_type: str | None = None
+) -> DataFrame:
+    """Premium customers to offer a loan to, of one type or of any."""
+    wanted = F.col("status") == "ACTIVE"
+    if loan_type is not None:
+        wanted &= F.col("loan_type") == loan_type
+    borrowers = loans.filter(wanted).select("customer_id")
     return (
         customers.filter(F.col("customer_segment") == "PREMIUM")
         .select("customer_id", "city", "account_balance")
@@ -469,7 +475,7 @@ def to_home_currency(
     transactions: DataFrame, rates: DataFrame, home: str = "INR"
 ) -> DataFrame:
     """Amounts in the home currency by the day's rate; an unknown rate gives NULL."""
-    daily = rates.select("currency", F.col("rate_date").alias("transaction_date"), "rate")
+    daily = broadcast_checked(rates.select("currency", F.col("rate_date").alias("transaction_date"), "rate"))
     joined = transactions.join(daily, ["currency", "transaction_date"], "left")
     rate = F.when(F.col("currency") == home, F.lit(1.0)).otherwise(F.col("rate"))
     return joined.withColumn("amount_home", F.rint(F.col("amount") * rate * 100) / 100).drop("rate")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgermill.sources.paths import stored
 from ledgermill.schemas import CORRUPT, ENTITIES, RAW_TRANSACTIONS
 
 
@@ -52,8 +53,9 @@ def with_ordinal(raw: DataFrame, name: str = "ordinal") -> DataFrame:
     """Count the rows from zero in file order.
 
     Rows of one block are consecutive within a task, so only the block sizes are
-    summed up across tasks; the rows themselves are not shuffled when the block
-    list is small enough to be sent to every task.
+    summed up across tasks. The block list is stored first, so the planner knows
+    its size: it is broadcast below the session's threshold, else the join is a
+    shuffle.
     """
     blocks = raw.groupBy("source_file", "source_block").agg(
         F.count(F.lit(1)).alias("_size"), F.min("source_row").alias("_first")
@@ -77,7 +79,7 @@ def with_ordinal(raw: DataFrame, name: str = "ordinal") -> DataFrame:
         )
     )
     return (
-        raw.join(starts, ["source_file", "source_block"])
+        raw.join(stored(starts, "block-starts"), ["source_file", "source_block"])
         .withColumn(name, F.col("_start") + F.col("source_row") - F.col("_first"))
         .drop("_start", "_first")
     )

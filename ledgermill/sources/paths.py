@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -23,3 +23,15 @@ def shared_folder(spark: SparkSession) -> str:
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back.
+
+    Used where a result feeds several jobs: it cuts the lineage, survives a lost
+    executor, and gives the planner its true size for choosing a join.
+    """
+    spark = df.sparkSession
+    folder = fresh_folder(spark, purpose)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)

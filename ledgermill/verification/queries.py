@@ -30,6 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = date(2024, 6, 30)
 RUN_TS = datetime(2024, 6, 30, 12, 0, 0)
 DRILL_BRANCH = 7
+COSTLY = 2500
 MONTHS = [f"{year}-{month:02d}" for year in range(1995, 2002) for month in range(1, 13)]
 THRESHOLDS = [0.25, 0.55, 0.80]
 
@@ -91,7 +92,14 @@ def _silver_transactions(bank: BankTables) -> DataFrame:
 
 
 def _customer_details(bank: BankTables) -> DataFrame:
-    return marts.customer_details(_customer_mart(bank), _silver_customers(bank))
+    kept = gold.customer_profitability(
+        _silver_customers(bank),
+        bank.revenue,
+        bank.transactions,
+        AS_OF,
+        keep=marts.CUSTOMER_ATTRIBUTES,
+    )
+    return kept.withColumn("value_tier", bands.value_tier())
 
 
 def _loan_mart(bank: BankTables) -> DataFrame:
@@ -123,6 +131,16 @@ def _features(bank: BankTables) -> DataFrame:
     return risk.loan_features(bank.loans, bank.customers)
 
 
+def _alerts(bank: BankTables) -> DataFrame:
+    """Alerts at a transaction cost high enough for some customers to lose money."""
+    return marts.alerts(
+        _branch_details(bank),
+        _customer_mart(bank, cost_per_transaction=COSTLY),
+        _loan_view(bank),
+        bank.branches,
+    )
+
+
 def _scores(bank: BankTables) -> DataFrame:
     features = _features(bank)
     return risk.score(risk.fit(features), features, RUN_TS)
@@ -526,7 +544,9 @@ def top_customers(bank):
 
 @query
 def negative_profit_head(bank):
-    return marts.negative_profit_customers(_customer_mart(bank), 100)
+    return marts.negative_profit_customers(
+        _customer_mart(bank, cost_per_transaction=COSTLY), 100
+    )
 
 
 @query
@@ -599,16 +619,12 @@ def loan_risk_distribution(bank):
 
 @query
 def alerts(bank):
-    return marts.alerts(
-        _branch_details(bank), _customer_mart(bank), _loan_view(bank), bank.branches
-    )
+    return _alerts(bank)
 
 
 @query
 def alert_counts(bank):
-    return marts.alert_counts(
-        marts.alerts(_branch_details(bank), _customer_mart(bank), _loan_view(bank), bank.branches)
-    )
+    return marts.alert_counts(_alerts(bank))
 
 
 @query
@@ -738,11 +754,8 @@ def branch_volume_stream(bank):
     """The same windows from a stream run to its end."""
     spark = bank.spark
     schema = spark.read.parquet(f"{bank.folder}/events.parquet").schema
-    stream = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(bank.folder)
-    )
+    # A glob matches the table both as one file and as a folder of parts.
+    stream = spark.readStream.schema(schema).parquet(f"{bank.folder}/events.parquet*")
     streamed = BankTables(spark, bank.folder)
     streamed.table = lambda name: stream
     out, checkpoint = fresh_folder(spark, "volume"), fresh_folder(spark, "volume-state")
@@ -755,7 +768,9 @@ def branch_volume_stream(bank):
 
 @query
 def branch_surges(bank):
-    return volume.surges(volume.batch_volume(_card_events(bank)), lookback=5, factor=1.5).select(
+    """Surges over ten regions of customers, as single branches are too quiet."""
+    grouped = _card_events(bank).withColumn("branch_id", F.col("customer_id") % 10)
+    return volume.surges(volume.batch_volume(grouped), lookback=5, factor=1.5).select(
         "window_start", "branch_id", "window_txn_count", "trailing_total", "trailing_windows"
     )
 
@@ -777,7 +792,8 @@ def card_events(bank):
 
 @query
 def premium_without_active_loan(bank):
-    return marts.premium_without_active_loan(bank.customers, bank.loans)
+    """Premium customers without an active home loan."""
+    return marts.premium_without_active_loan(bank.customers, bank.loans, "HOME_LOAN")
 
 
 @query
