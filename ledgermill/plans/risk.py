@@ -79,7 +79,9 @@ def fit(features: DataFrame, classifier: Estimator | None = None) -> PipelineMod
 
     The training rows are written to the shared folder first: every iteration
     reads five columns of Parquet, and a lost executor costs a re-read, not the
-    join behind the features.
+    join behind the features. The model is saved and loaded again, which drops
+    the training summary: the summary holds the session and would be sent to
+    every task, and fails there once the session has used an ``Observation``.
     """
     spark: SparkSession = features.sparkSession
     folder = fresh_folder(spark, "loan-features")
@@ -87,7 +89,10 @@ def fit(features: DataFrame, classifier: Estimator | None = None) -> PipelineMod
     if classifier is None:
         classifier = LogisticRegression(featuresCol="features", labelCol="is_default", maxIter=10)
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    return Pipeline(stages=[assembler, classifier]).fit(spark.read.parquet(folder))
+    model = Pipeline(stages=[assembler, classifier]).fit(spark.read.parquet(folder))
+    saved = fresh_folder(spark, "loan-model")
+    model.save(saved)
+    return PipelineModel.load(saved)
 
 
 def score(model: PipelineModel, features: DataFrame, run_ts: datetime) -> DataFrame:
