@@ -8,7 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgermill.operators.joins import key_set
 from ledgermill.schemas import FOREIGN_KEYS, PRIMARY_KEYS
+from ledgermill.sources.paths import stored
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -18,14 +20,18 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """One row: how many rows repeat an earlier identical row.
 
-    Step one shuffles only a 64-bit fingerprint per distinct row. Step two
-    compares in full the rows whose fingerprint occurs twice, so a clean table
-    is never shuffled whole and a fingerprint collision cannot miscount. Copies
-    collapse in the map-side combine of both steps.
+    Step one shuffles only a 64-bit fingerprint per distinct row and stores
+    those that occur twice. Step two compares in full the rows with such a
+    fingerprint, so a clean table is never shuffled whole and a fingerprint
+    collision cannot miscount. Copies collapse in the map-side combine of both
+    steps; the semi-join between them is a broadcast while the stored list is
+    small, and splits at a hot fingerprint when it is not.
     """
     columns = df.columns
     marked = df.withColumn("_print", F.xxhash64(*columns))
-    repeated = marked.groupBy("_print").count().filter("count > 1").select("_print")
+    repeated = stored(
+        marked.groupBy("_print").count().filter("count > 1").select("_print"), "repeated-rows"
+    )
     groups = marked.join(repeated, "_print", "left_semi").groupBy(*columns).count()
     return groups.agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("failures"))
 
@@ -52,12 +58,12 @@ def orphan_keys(child: DataFrame, key: str, parent: DataFrame) -> DataFrame:
     costs one row there; a NULL key has no parent and is reported.
     """
     per_key = child.groupBy(key).agg(F.count(F.lit(1)).alias("row_count"))
-    return per_key.join(parent.select(key), key, "left_anti")
+    return per_key.join(parent.select(key).distinct(), key, "left_anti")
 
 
 def orphan_rows(child: DataFrame, key: str, parent: DataFrame) -> DataFrame:
     """The offending rows themselves, for samples and quarantine."""
-    return child.join(parent.select(key), key, "left_anti")
+    return child.join(key_set(parent, key), key, "left_anti")
 
 
 def source_overlap(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgermill.sources.paths import stored
+
 BROADCAST_ROWS = 200_000
 
 
@@ -15,3 +17,13 @@ def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     without a hint and the join is planned as a shuffle.
     """
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def key_set(df: DataFrame, key: str) -> DataFrame:
+    """The distinct keys of a frame, stored.
+
+    Joined against, they are a plain scan of known size: broadcast when below
+    the session's threshold, else shuffled in a shape whose other side adaptive
+    execution can split at a hot key.
+    """
+    return stored(df.select(key).distinct(), "key-set")

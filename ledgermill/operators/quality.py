@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ledgermill.operators.joins import key_set
 from ledgermill.sources.sinks import append_parquet, overwrite_parquet
 
 
@@ -138,7 +139,7 @@ def with_reference_check(
     The child may be skewed on the key; the join is an outer equi-join that
     adaptive execution splits, and the parent side is reduced to its keys.
     """
-    parents = parent.select(F.col(parent_key).alias("_parent_key")).distinct()
+    parents = key_set(parent, parent_key).withColumnRenamed(parent_key, "_parent_key")
     return (
         df.join(parents, F.col(key) == F.col("_parent_key"), "left")
         .withColumn(flag, F.col("_parent_key").isNotNull())

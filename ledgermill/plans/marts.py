@@ -463,7 +463,7 @@ def premium_without_active_loan(
     wanted = F.col("status") == "ACTIVE"
     if loan_type is not None:
         wanted &= F.col("loan_type") == loan_type
-    borrowers = loans.filter(wanted).select("customer_id")
+    borrowers = loans.filter(wanted).select("customer_id").distinct()
     return (
         customers.filter(F.col("customer_segment") == "PREMIUM")
         .select("customer_id", "city", "account_balance")
