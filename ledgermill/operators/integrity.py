@@ -17,6 +17,11 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def _surplus(count: str) -> Column:
+    """Rows beyond the first of each group."""
+    return F.coalesce(F.sum(F.col(count) - 1), F.lit(0))
+
+
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """One row: how many rows repeat an earlier identical row.
 
@@ -33,7 +38,7 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
         marked.groupBy("_print").count().filter("count > 1").select("_print"), "repeated-rows"
     )
     groups = marked.join(repeated, "_print", "left_semi").groupBy(*columns).count()
-    return groups.agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("failures"))
+    return groups.agg(_surplus("count").alias("failures"))
 
 
 def repeated_keys(df: DataFrame, key: str) -> DataFrame:
@@ -47,7 +52,7 @@ def surplus_keys(df: DataFrame, key: str) -> DataFrame:
     return per_key.agg(
         F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count"),
         F.count(key).alias("distinct_keys"),
-        F.coalesce(F.sum(F.col("row_count") - 1), F.lit(0)).alias("failures"),
+        _surplus("row_count").alias("failures"),
     )
 
 
@@ -90,12 +95,39 @@ def _finding(check: str, table: str, frame: DataFrame) -> DataFrame:
 
 
 def integrity_report(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per check: duplicate rows, repeated keys and orphans."""
+    """One row per check: duplicate rows, repeated keys and orphans.
+
+    The repeated keys of all tables are found and stored in one job. Identical
+    rows share their key, so only rows with a stored key can be copies: one
+    shuffle of the keys serves both checks.
+    """
+    keyed = {name: key for name, key in PRIMARY_KEYS.items() if name in tables}
+    repeated = stored(
+        union_all(
+            [
+                repeated_keys(tables[name], key).select(
+                    F.lit(name).alias("subject"), F.col(key).cast("string").alias("k"), "row_count"
+                )
+                for name, key in keyed.items()
+            ]
+        ),
+        "repeated-keys",
+    )
     findings = []
-    for name, key in PRIMARY_KEYS.items():
-        if name in tables:
-            findings.append(_finding("duplicate_rows", name, duplicate_rows(tables[name])))
-            findings.append(_finding("repeated_keys", name, surplus_keys(tables[name], key)))
+    for name, key in keyed.items():
+        df, own = tables[name], repeated.filter(F.col("subject") == name)
+        findings.append(
+            _finding("repeated_keys", name, own.agg(_surplus("row_count").alias("failures")))
+        )
+        suspects = own.select(F.col("k").cast(df.schema[key].dataType).alias("_suspect"))
+        groups = (
+            df.join(suspects, F.col(key).eqNullSafe(F.col("_suspect")), "left_semi")
+            .groupBy(*df.columns)
+            .count()
+        )
+        findings.append(
+            _finding("duplicate_rows", name, groups.agg(_surplus("count").alias("failures")))
+        )
     for child, key, parent in FOREIGN_KEYS:
         if child in tables and parent in tables:
             orphans = orphan_keys(tables[child], key, tables[parent]).agg(

@@ -45,24 +45,36 @@ def clean_raw(
     """
     draw = draws.hash_draw("CustomerID") if draw is None else draw
     day = F.lit(as_of)
-    born = dates.parse_dob("CustomerDOB", day)
-    age = dates.age_years(born, day)
-    gender = text.gender_letter("CustGender")
-    return raw.select(
+    # One step per level of reuse, so no parse is repeated within a row.
+    parsed = (
+        raw.withColumns(
+            {
+                "_date_parts": dates.dmy_parts("TransactionDate"),
+                "_birth_parts": dates.dmy_parts("CustomerDOB"),
+                "_gender": text.gender_letter("CustGender"),
+                "_draw": draw,
+            }
+        )
+        .withColumn("_birth", dates.date_from_parts("_birth_parts", dates.BIRTH_PIVOT))
+        .withColumn("_born", dates.usable_birth("_birth", "CustomerDOB", day))
+        .withColumn("_age", dates.age_years("_born", day))
+    )
+    drawn = F.col("_draw")
+    return parsed.select(
         text.prefixed_id("CustomerID", RAW_ID_PREFIX).alias("customer_id"),
         F.col("CustomerID").alias("original_customer_id"),
-        F.coalesce(gender, draws.pick(draw, ["M", "F"])).alias("gender"),
+        F.coalesce("_gender", draws.pick(drawn, ["M", "F"])).alias("gender"),
         text.city_name("CustLocation").alias("city"),
         number_or("CustAccountBalance").alias("account_balance"),
         number_or(F.col(f"`{AMOUNT}`")).alias("transaction_amount"),
-        dates.parse_dmy("TransactionDate").alias("transaction_date"),
+        dates.date_from_parts("_date_parts", dates.TRANSACTION_PIVOT).alias("transaction_date"),
         F.col("TransactionID").alias("transaction_id"),
         F.col("TransactionTime").alias("transaction_time"),
-        born.alias("date_of_birth"),
-        F.coalesce(age, draws.draw_between(draw, 25, 65)).alias("age"),
+        F.col("_born").alias("date_of_birth"),
+        F.coalesce("_age", draws.draw_between(drawn, 25, 65)).alias("age"),
         F.lit(RAW_SOURCE_TAG).alias("data_source"),
-        gender.isNull().alias("gender_imputed"),
-        age.isNull().alias("age_imputed"),
+        F.col("_gender").isNull().alias("gender_imputed"),
+        F.col("_age").isNull().alias("age_imputed"),
         *keep,
     )
 

@@ -12,14 +12,18 @@ CARD = "CARD_TRANSACTION"
 
 
 def decode(messages: DataFrame) -> DataFrame:
-    """``value`` to typed columns; text that is no JSON keeps its raw form."""
+    """``value`` to typed columns; text that is no JSON keeps its raw form.
+
+    The parsed struct is unpacked by ``inline``: a filter on its fields is not
+    pushed below a generator, so each message is parsed once however many
+    fields the filter reads.
+    """
     schema = T.StructType([*EVENT.fields, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(
         F.col("value").cast("string"), schema, {"columnNameOfCorruptRecord": CORRUPT}
     )
     return (
-        messages.select(parsed.alias("data"))
-        .select("data.*")
+        messages.select(F.inline(F.array(parsed)))
         .withColumn("event_time", F.try_to_timestamp("timestamp", F.lit(EVENT_TIME_FORMAT)))
     )
 
