@@ -10,8 +10,11 @@ from dataclasses import dataclass, field
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgermill.functions import dates
+from ledgermill.operators.integrity import layer_counts
 from ledgermill.operators.profiling import amount_statistics, columns_with_gaps
 from ledgermill.operators.quality import GATES, GateOutcome, write_gated
 from ledgermill.operators.sampling import contiguous_sample
@@ -61,8 +64,6 @@ def integrate_raw(
         integrate.customer_dimension(cleaned, files.FILE_ORDER), f"{out_path}/customers.csv"
     )
     written = {name: files.read_entity(spark, out_path, name) for name in ("transactions", "customers")}
-    from ledgermill.operators.integrity import layer_counts
-
     return IntegrateResult(
         gaps=columns_with_gaps(cleaned.drop(*files.FILE_ORDER)),
         statistics=amount_statistics(cleaned, "account_balance", "customer_id"),
@@ -70,6 +71,21 @@ def integrate_raw(
     )
 
 
+def raw_to_bronze(spark: SparkSession, raw_path: str, out_path: str) -> None:
+    """Keep the raw file as Parquet by year and month, its text untouched.
+
+    Rows without a readable date share one partition.
+    """
+    day = dates.parse_dmy("TransactionDate")
+    raw = (
+        files.read_raw(spark, raw_path)
+        .withColumn("transaction_date", day)
+        .withColumns({"year": F.year("transaction_date"), "month": F.month("transaction_date")})
+        .withColumnRenamed(integrate.AMOUNT, "TransactionAmount")
+    )
+    overwrite_parquet(raw, out_path, ["year", "month"])
+
+
 def bronze_to_silver(
     spark: SparkSession, entity_path: str, out_path: str, run_ts: datetime
 ) -> dict[str, GateOutcome | None]:

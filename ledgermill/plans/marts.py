@@ -519,6 +519,16 @@ def branch_activity(transactions: DataFrame, revenue: DataFrame) -> DataFrame:
 OUTSTANDING_RISKS = [(1000000, "High"), (500000, "Medium")]
 
 
+def loan_risk_classes(loans: DataFrame) -> DataFrame:
+    """Outstanding share of each loan's value and its outstanding-balance class."""
+    return loans.select(
+        "loan_id",
+        "branch_id",
+        safe_ratio("outstanding_balance", "loan_amount", None).alias("loan_to_value"),
+        bands.band_desc("outstanding_balance", OUTSTANDING_RISKS, "Low").alias("risk_class"),
+    )
+
+
 def loan_risk_shares(loans: DataFrame) -> DataFrame:
     """Share of loans per outstanding-balance class."""
     from pyspark.sql import Window
@@ -548,19 +558,24 @@ def rapid_city_use(
     """Customers seen in more than one city within one clock window.
 
     Windows overlap by half, so two uses at most ``minutes / 2`` apart always
-    share one. Uses are reduced to one row per customer, window and city before
-    the cities are counted, which keeps a hot customer small.
+    share one. Uses are first reduced to one row per customer, half window and
+    branch, before the city is looked up, which keeps a hot customer or branch
+    small; only those rows are copied into their two windows.
     """
-    placed = transactions.join(branches.select("branch_id", "city"), "branch_id")
-    seen = placed.groupBy(
-        "customer_id",
-        F.window("timestamp", f"{minutes} minutes", f"{minutes // 2} minutes").alias("w"),
-        "city",
+    half = minutes // 2
+    used = transactions.groupBy(
+        "customer_id", "branch_id", F.window("timestamp", f"{half} minutes").alias("pane")
     ).agg(F.count(F.lit(1)).alias("uses"))
+    placed = used.select("customer_id", "branch_id", "pane.start", "uses").join(
+        branches.select("branch_id", "city"), "branch_id"
+    )
     return (
-        seen.groupBy("customer_id", F.col("w.start").alias("window_start"))
-        .agg(F.count("city").alias("cities"), F.sum("uses").alias("uses"))
+        placed.groupBy(
+            "customer_id", F.window("start", f"{2 * half} minutes", f"{half} minutes").alias("w")
+        )
+        .agg(F.countDistinct("city").alias("cities"), F.sum("uses").alias("uses"))
         .filter(F.col("cities") > 1)
+        .select("customer_id", F.col("w.start").alias("window_start"), "cities", "uses")
     )
 
 

@@ -988,6 +988,14 @@ add(
     """SELECT branch_id, staff_count, CASE WHEN staff_count < 15 THEN 'Small'
               WHEN staff_count < 35 THEN 'Medium' ELSE 'Large' END AS size_class FROM branches""",
 )
+add(
+    "loan_risk_classes",
+    """SELECT loan_id, branch_id,
+              CASE WHEN loan_amount > 0 THEN outstanding_balance / loan_amount END AS loan_to_value,
+              CASE WHEN outstanding_balance > 1000000 THEN 'High'
+                   WHEN outstanding_balance > 500000 THEN 'Medium' ELSE 'Low' END AS risk_class
+       FROM loans""",
+)
 add(
     "loan_risk_shares",
     """SELECT CASE WHEN outstanding_balance > 1000000 THEN 'High'

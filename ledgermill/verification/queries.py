@@ -835,6 +835,11 @@ def branch_size(bank):
     return marts.branch_size(bank.branches)
 
 
+@query
+def loan_risk_classes(bank):
+    return marts.loan_risk_classes(bank.loans)
+
+
 @query
 def loan_risk_shares(bank):
     return marts.loan_risk_shares(bank.loans)

@@ -82,6 +82,16 @@ def test_bad_csv_values_keep_their_text(spark, tmp_path):
     assert rows["l2"].loan_amount is None and "abc" in rows["l2"][CORRUPT]
 
 
+def test_bronze_by_month(spark, raw_file, tmp_path):
+    path = str(tmp_path / "bronze")
+    jobs.raw_to_bronze(spark, raw_file, path)
+    bronze = spark.read.parquet(path)
+    assert {(r.TransactionID, r.year, r.month) for r in bronze.collect()} == {
+        ("T1", 2016, 8), ("T2", 2016, 8), ("T3", 2016, 8), ("T4", None, None), ("T5", None, None),
+    }
+    assert bronze.filter("TransactionID = 'T2'").first().CustomerDOB == "1/1/1800"
+
+
 def test_integrate_job(spark, raw_file, tmp_path):
     result = jobs.integrate_raw(spark, raw_file, str(tmp_path / "out"), AS_OF)
     assert {r.layer: r.row_count for r in result.counts.collect()} == {"transactions": 5, "customers": 4}

@@ -86,6 +86,16 @@ def test_one_exchange_per_customer_input(spark, bank):
     assert text.count("Exchange hashpartitioning(customer_id") == 3
 
 
+def test_session_settings(spark):
+    from ledgermill.session import build_session, object_store_conf
+
+    session = build_session("tests", conf={"spark.sql.shuffle.partitions": "4"})
+    assert session.conf.get("spark.sql.ansi.enabled") == "true"
+    assert session.conf.get("spark.sql.sources.partitionOverwriteMode") == "dynamic"
+    assert session.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert object_store_conf("http://store:1")["spark.hadoop.fs.s3a.path.style.access"] == "true"
+
+
 def test_shuffle_sizing():
     assert shuffle_partitions(0) == 200
     assert shuffle_partitions(10 * 2**40) == 52429

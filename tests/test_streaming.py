@@ -102,6 +102,29 @@ def test_late_event_is_dropped_after_a_filler_batch(spark, tmp_path):
     assert counts["10:00"] == 1
 
 
+def test_console_sink(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "0.json").write_text(json.dumps(card(1, "2024-01-01 10:00:30")) + "\n")
+    cards = decode.typed_events(
+        decode.decode(kafka.read_json_files(spark, str(tmp_path / "in"))), "CARD_TRANSACTION"
+    )
+    query = sinks.to_console(volume.stream_volume(cards), str(tmp_path / "state"))
+    query.processAllAvailable()
+    assert sum(p.numInputRows for p in query.recentProgress) == 1
+    query.stop()
+
+
+def test_rocksdb_state(spark, tmp_path):
+    key, provider = next(iter(sinks.ROCKSDB.items()))
+    old = spark.conf.get(key)
+    spark.conf.set(key, provider)
+    try:
+        _, out = run_stream(spark, tmp_path, [[card(1, "2024-01-01 10:00:30")]])
+    finally:
+        spark.conf.set(key, old)
+    assert sinks.latest_windows(spark, out).count() == 5
+
+
 def test_messages(spark):
     df = spark.createDataFrame([("k", 1.5)], "id string, amount double")
     row = kafka.as_messages(df, "id").selectExpr("CAST(key AS STRING) k", "CAST(value AS STRING) v").first()
