@@ -7,7 +7,7 @@ complementary. The rejected side names every violated rule.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 from functools import reduce
 
@@ -30,6 +30,9 @@ class Gate:
         present = {f"{key} is missing": F.col(key).isNotNull() for key in self.keys}
         return present | {name: F.expr(rule) for name, rule in self.rules.items()}
 
+    def with_rule(self, name: str, rule: str) -> Gate:
+        return replace(self, rules={**self.rules, name: rule})
+
     def holds(self) -> Column:
         """Three-valued conjunction, fit for pushing into a scan."""
         return reduce(lambda a, b: a & b, self.conditions().values(), F.lit(True))
@@ -110,9 +113,12 @@ def write_gated(
     quarantine_path: str,
     run_ts: datetime,
     partition_by: Sequence[str] = (),
+    rejected_only: Sequence[str] = (),
 ) -> GateOutcome:
     """Write the valid rows and append the rejected ones.
 
+    Columns in ``rejected_only`` are kept with the rejected rows alone.
+
     Both counts are observed while the valid rows are written, so a clean input
     is scanned once and only an input with rejects is scanned again.
     """
@@ -124,7 +130,7 @@ def write_gated(
         F.count_if(holds).alias("valid_rows"),
         F.count_if(~holds).alias("rejected_rows"),
     )
-    overwrite_parquet(counted.filter(holds), valid_path, partition_by)
+    overwrite_parquet(counted.filter(holds).drop(*rejected_only), valid_path, partition_by)
     valid, rejected = seen.get["valid_rows"], seen.get["rejected_rows"]
     if rejected:
         append_parquet(rejected_rows(df, gate, run_ts), quarantine_path)

@@ -16,10 +16,10 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgermill.functions import dates
 from ledgermill.operators.integrity import layer_counts
 from ledgermill.operators.profiling import amount_statistics, columns_with_gaps
-from ledgermill.operators.quality import GATES, GateOutcome, write_gated
+from ledgermill.operators.quality import GATES, Gate, GateOutcome, write_gated
 from ledgermill.operators.sampling import contiguous_sample
 from ledgermill.plans import gold, integrate, risk, silver
-from ledgermill.schemas import ENTITIES
+from ledgermill.schemas import CORRUPT, ENTITIES
 from ledgermill.sources import files, kafka
 from ledgermill.sources.resolve import Resolved, resolve_table
 from ledgermill.sources.sinks import (
@@ -88,28 +88,29 @@ def raw_to_bronze(spark: SparkSession, raw_path: str, out_path: str) -> None:
 
 def bronze_to_silver(
     spark: SparkSession, entity_path: str, out_path: str, run_ts: datetime
-) -> dict[str, GateOutcome | None]:
-    """Type, band and gate every entity; facts are partitioned by month."""
-    outcome: dict[str, GateOutcome | None] = {}
+) -> dict[str, GateOutcome]:
+    """Type, band and gate every entity; facts are partitioned by month.
+
+    A line that does not fit its schema is quarantined with its text, also for
+    the entities that have no rules of their own.
+    """
+    outcome: dict[str, GateOutcome] = {}
     for entity in ENTITIES:
         df = silver.to_silver(entity, files.read_entity(spark, entity_path, entity), run_ts)
         partition_by: list[str] = []
         if entity in silver.FACT_DAY:
             df = silver.with_month(df, silver.FACT_DAY[entity])
             partition_by = ["month"]
-        target = f"{out_path}/silver/{entity}"
-        if entity in GATES:
-            outcome[entity] = write_gated(
-                df,
-                GATES[entity],
-                target,
-                f"{out_path}/quarantine/{entity}",
-                run_ts,
-                partition_by,
-            )
-        else:
-            overwrite_parquet(df, target, partition_by)
-            outcome[entity] = None
+        gate = GATES.get(entity, Gate(entity, []))
+        outcome[entity] = write_gated(
+            df,
+            gate.with_rule("line is malformed", f"{CORRUPT} IS NULL"),
+            f"{out_path}/silver/{entity}",
+            f"{out_path}/quarantine/{entity}",
+            run_ts,
+            partition_by,
+            rejected_only=[CORRUPT],
+        )
     return outcome
 
 
@@ -218,7 +219,7 @@ def resolve_branch_performance(
             "entities",
             lambda: gold.branch_ratio_from_entities(
                 *[
-                    files.read_entity(spark, entity_path, name).drop("_corrupt_record")
+                    files.read_entity(spark, entity_path, name).drop(CORRUPT)
                     for name in ("branches", "revenue", "costs")
                 ]
             ),

@@ -125,6 +125,7 @@ def lake(spark, tmp_path_factory):
         "revenue": [
             "revenue_id,customer_id,account_id,revenue_type,amount,event_date,branch_id,description",
             *[f"r{i},c{i % 40},a,LATE_FEE,{i}.10,2024-0{1 + i % 3}-07,BR_00{i % 3},d" for i in range(50)],
+            "r99,c1,a,LATE_FEE,oops,2024-01-07,BR_001,d",
         ],
         "costs": [
             "cost_id,branch_id,cost_category,amount,cost_date,description,region",
@@ -152,7 +153,10 @@ def test_silver_gate_and_layout(spark, lake):
     base, _, outcome, _ = lake
     assert (outcome["customers"].valid_rows, outcome["customers"].rejected_rows) == (39, 2)
     assert (outcome["transactions"].valid_rows, outcome["transactions"].rejected_rows) == (60, 2)
-    assert outcome["loans"].rejected_rows == 1 and outcome["revenue"] is None
+    assert (outcome["loans"].rejected_rows, outcome["revenue"].rejected_rows) == (1, 1)
+    malformed = spark.read.parquet(f"{base}/quarantine/revenue").first()
+    assert malformed.violations == ["line is malformed"] and "oops" in malformed[CORRUPT]
+    assert CORRUPT not in spark.read.parquet(f"{base}/silver/revenue").columns
     silver = spark.read.parquet(f"{base}/silver/transactions")
     assert silver.count() == 60 and silver.filter("amount <= 0").count() == 0
     pruned = silver.filter("month = '2024-02'")
@@ -209,3 +213,19 @@ def test_month_overwrite_replaces_one_month(spark, tmp_path):
     sinks.overwrite_parquet(df, path, ["month"])
     sinks.overwrite_parquet(df.filter("month = '2024-02'").withColumn("v", F.lit(9)), path, ["month"])
     assert {(r.month, r.v) for r in spark.read.parquet(path).collect()} == {("2024-01", 1), ("2024-02", 9)}
+
+
+def test_command_line(spark, lake, raw_file, tmp_path, capsys):
+    from ledgermill.__main__ import REPORTS, parser, run
+
+    base, entity, _, _ = lake
+    for line in (
+        ["integrity", str(entity)],
+        ["profile", raw_file],
+        ["integrate", raw_file, str(tmp_path / "out"), "--limit", "3", "--as-of", "2024-06-30"],
+        *[["report", str(base), name] for name in REPORTS],
+    ):
+        run(spark, parser().parse_args(line))
+    shown = capsys.readouterr().out
+    for text in ("orphans", "TransactionDate", "median_amount", "total_revenue", "risk_category", "LOW_PRODUCTIVITY", "net_income"):
+        assert text in shown
