@@ -197,35 +197,57 @@ def written_rows(spark: SparkSession, result: GoldResult) -> DataFrame:
     return row_counts(spark, result.tables)
 
 
-def resolve_branch_performance(
-    spark: SparkSession, base_path: str, entity_path: str, warehouse: Warehouse | None = None
+MART_VIEWS = {
+    "branch_performance": gold.branch_performance_view,
+    "customer_profitability": gold.customer_profitability_view,
+    "loan_portfolio": gold.loan_portfolio_view,
+}
+
+
+def _from_entities(spark: SparkSession, entity_path: str, mart: str) -> DataFrame:
+    """What the entity CSVs alone can say in place of a mart."""
+
+    def entity(name: str) -> DataFrame:
+        return files.read_entity(spark, entity_path, name).drop(CORRUPT)
+
+    if mart == "branch_performance":
+        return gold.branch_ratio_from_entities(entity("branches"), entity("revenue"), entity("costs"))
+    return entity("customers" if mart == "customer_profitability" else "loans")
+
+
+def resolve_mart(
+    spark: SparkSession,
+    mart: str,
+    base_path: str,
+    entity_path: str,
+    warehouse: Warehouse | None = None,
 ) -> Resolved:
-    """Branch figures from the warehouse view, the Gold files or the entity CSVs."""
+    """A mart from the warehouse view, the Gold files or the entity CSVs."""
     sources = []
     if warehouse is not None:
-        sources.append(
-            ("warehouse", lambda: read_table(spark, warehouse, "vw_branch_performance"))
-        )
+        sources.append(("warehouse", lambda: read_table(spark, warehouse, f"vw_{mart}")))
     sources.append(
-        (
-            "gold",
-            lambda: gold.branch_performance_view(
-                spark.read.parquet(f"{base_path}/gold/branch_performance")
-            ),
-        )
+        ("gold", lambda: MART_VIEWS[mart](spark.read.parquet(f"{base_path}/gold/{mart}")))
     )
-    sources.append(
-        (
-            "entities",
-            lambda: gold.branch_ratio_from_entities(
-                *[
-                    files.read_entity(spark, entity_path, name).drop(CORRUPT)
-                    for name in ("branches", "revenue", "costs")
-                ]
-            ),
-        )
+    sources.append(("entities", lambda: _from_entities(spark, entity_path, mart)))
+    return resolve_table(mart, sources)
+
+
+def register_views(spark: SparkSession, base_path: str) -> list[str]:
+    """Name the warehouse views over the Gold files for ``spark.sql``."""
+
+    def mart(name: str) -> DataFrame:
+        return spark.read.parquet(f"{base_path}/gold/{name}")
+
+    views = {f"vw_{name}": view(mart(name)) for name, view in MART_VIEWS.items()}
+    views["vw_summary_kpis"] = gold.summary_kpis(
+        mart("customer_profitability"), mart("loan_portfolio")
     )
-    return resolve_table("branch_performance", sources)
+    views["vw_loan_risk_analytics"] = gold.loan_risk_view(mart("loan_risk_analytics"))
+    views["vw_realtime_branch_tps"] = gold.branch_throughput(mart("branch_performance"))
+    for name, frame in views.items():
+        frame.createOrReplaceTempView(name)
+    return sorted(views)
 
 
 def branch_volume_stream(

@@ -7,6 +7,8 @@ both engines give identical doubles.
 
 from __future__ import annotations
 
+from ledgermill.functions import bands
+from ledgermill.schemas import FOREIGN_KEYS, PRIMARY_KEYS, PRODUCT_OF_REVENUE, PRODUCT_SHARES
 from ledgermill.verification.queries import COSTLY, DRILL_BRANCH, MONTHS
 
 AS_OF = "2024-06-30"
@@ -57,15 +59,28 @@ def second(x: str) -> str:
     return f"strftime({x}, '%Y-%m-%d %H:%M:%S')"
 
 
-EFFICIENCY = """CASE WHEN cost_income_ratio < 0.5 THEN 'Excellent'
-    WHEN cost_income_ratio < 0.6 THEN 'Good' WHEN cost_income_ratio < 0.7 THEN 'Fair'
-    ELSE 'Needs Improvement' END"""
-PRODUCTIVITY = """CASE WHEN transaction_per_staff > 100 THEN 'High Productivity'
-    WHEN transaction_per_staff > 50 THEN 'Medium Productivity' ELSE 'Low Productivity' END"""
-TIER = """CASE WHEN profit_margin > 0.3 THEN 'High Value' WHEN profit_margin > 0.1
-    THEN 'Medium Value' ELSE 'Low Value' END"""
-RATE_RISK = """CASE WHEN interest_rate > 0.14 THEN 'Critical Risk' WHEN interest_rate > 0.12
-    THEN 'High Risk' WHEN interest_rate > 0.10 THEN 'Moderate Risk' ELSE 'Low Risk' END"""
+def below(x: str, bounds: bands.Bounds, last: str) -> str:
+    """CASE over strict upper bounds."""
+    steps = " ".join(f"WHEN {x} < {bound} THEN '{label}'" for bound, label in bounds)
+    return f"CASE {steps} ELSE '{last}' END"
+
+
+def above(x: str, bounds: bands.Bounds, last: str) -> str:
+    """CASE over strict lower bounds."""
+    steps = " ".join(f"WHEN {x} > {bound} THEN '{label}'" for bound, label in bounds)
+    return f"CASE {steps} ELSE '{last}' END"
+
+
+def choice(x: str, table: dict[str, str]) -> str:
+    steps = " ".join(f"WHEN '{key}' THEN '{label}'" for key, label in table.items())
+    return f"CASE {x} {steps} END"
+
+
+EFFICIENCY = below("cost_income_ratio", bands.EFFICIENCY_RATINGS, "Needs Improvement")
+PRODUCTIVITY = above("transaction_per_staff", bands.PRODUCTIVITY_RATINGS, "Low Productivity")
+TIER = above("profit_margin", bands.VALUE_TIERS, "Low Value")
+RATE_RISK = above("interest_rate", bands.RATE_RISKS, "Low Risk")
+SEGMENT = above("account_balance", bands.CUSTOMER_SEGMENTS, "BASIC")
 
 CTES: dict[str, str] = {
     "branches": """
@@ -73,10 +88,8 @@ CTES: dict[str, str] = {
                CAST(8 + s_suppkey % 42 AS INTEGER) AS staff_count
         FROM supplier JOIN nation ON s_nationkey = n_nationkey
         JOIN region ON n_regionkey = r_regionkey WHERE s_suppkey < 62""",
-    "customers": """
-        SELECT *, CASE WHEN account_balance > 500000 THEN 'PREMIUM'
-                       WHEN account_balance > 100000 THEN 'STANDARD' ELSE 'BASIC' END
-                  AS customer_segment
+    "customers": f"""
+        SELECT *, {SEGMENT} AS customer_segment
         FROM (SELECT c_custkey AS customer_id, n_name AS city,
                      CAST(18 + c_custkey % 63 AS INTEGER) AS age,
                      floor(c_acctbal * 6000 + 0.5) / 100 AS account_balance,
@@ -165,14 +178,10 @@ CTES: dict[str, str] = {
                {ratio('(total_revenue - estimated_costs)', 'total_revenue')} AS profit_margin
         FROM (SELECT *, transaction_count * CAST({COSTLY} AS DOUBLE) AS estimated_costs
               FROM customer_sums)""",
-    "silver_people": """
-        SELECT *, CASE WHEN age < 25 THEN '18-24' WHEN age < 35 THEN '25-34'
-                       WHEN age < 45 THEN '35-44' WHEN age < 55 THEN '45-54'
-                       WHEN age < 65 THEN '55-64' ELSE '65+' END AS age_group,
-               CASE WHEN annual_income < 300000 THEN 'Low' WHEN annual_income < 800000
-                    THEN 'Medium' ELSE 'High' END AS income_segment,
-               CASE WHEN account_balance < 50000 THEN 'Low' WHEN account_balance < 200000
-                    THEN 'Medium' ELSE 'High' END AS balance_segment
+    "silver_people": f"""
+        SELECT *, {below('age', bands.AGE_GROUPS, '65+')} AS age_group,
+               {below('annual_income', bands.INCOME_SEGMENTS, 'High')} AS income_segment,
+               {below('account_balance', bands.BALANCE_SEGMENTS, 'High')} AS balance_segment
         FROM customers""",
     "people_details": f"""
         SELECT m.*, {TIER} AS value_tier, s.age, s.city, s.account_balance, s.annual_income,
@@ -185,9 +194,7 @@ CTES: dict[str, str] = {
         FROM loans WHERE status = 'ACTIVE' GROUP BY branch_id""",
     "loan_view": f"""
         SELECT *, {ratio('total_outstanding', 'total_loan_portfolio')} AS utilization_rate,
-               CASE WHEN avg_interest_rate > 0.12 THEN 'High Rate'
-                    WHEN avg_interest_rate > 0.10 THEN 'Medium Rate' ELSE 'Low Rate' END
-               AS rate_category
+               {above('avg_interest_rate', bands.RATE_CATEGORIES, 'Low Rate')} AS rate_category
         FROM loan_mart""",
     "revenue_months": f"""
         SELECT branch_id, revenue_type, {money('amount')} AS amount,
@@ -389,9 +396,9 @@ add(
 add("loan_portfolio", "SELECT * FROM loan_view")
 add(
     "loan_portfolio_dashboard_bands",
-    """SELECT * REPLACE (CASE WHEN avg_interest_rate > 0.115 THEN 'High Rate'
-              WHEN avg_interest_rate > 0.095 THEN 'Medium Rate' ELSE 'Low Rate' END
-              AS rate_category) FROM loan_view""",
+    f"""SELECT * REPLACE (
+               {above('avg_interest_rate', bands.RATE_CATEGORIES_DASHBOARD, 'Low Rate')}
+               AS rate_category) FROM loan_view""",
 )
 add(
     "summary_kpis",
@@ -417,8 +424,7 @@ add(
                {day('"timestamp"')} AS transaction_date,
                transaction_type IN ('WITHDRAWAL', 'PAYMENT', 'PURCHASE') AS is_debit,
                transaction_type IN ('DEPOSIT', 'TRANSFER') AS is_credit,
-               CASE WHEN amount < 500 THEN 'Small' WHEN amount < 5000 THEN 'Medium'
-                    ELSE 'Large' END AS amount_category,
+               {below('amount', bands.AMOUNT_CATEGORIES, 'Large')} AS amount_category,
                '{RUN}' AS updated_timestamp
         FROM transactions WHERE amount > 0""",
 )
@@ -473,22 +479,6 @@ add(
 
 # --- integrity and profiles -------------------------------------------------
 
-_KEYS = {
-    "customers": "customer_id",
-    "transactions": "transaction_id",
-    "revenue": "revenue_id",
-    "costs": "cost_id",
-    "loans": "loan_id",
-    "branches": "branch_id",
-}
-_REFERENCES = [
-    ("transactions", "customer_id", "customers"),
-    ("revenue", "customer_id", "customers"),
-    ("loans", "customer_id", "customers"),
-    ("transactions", "branch_id", "branches"),
-    ("revenue", "branch_id", "branches"),
-    ("loans", "branch_id", "branches"),
-]
 add(
     "integrity_report",
     " UNION ALL ".join(
@@ -496,16 +486,16 @@ add(
             f"""SELECT 'duplicate_rows' AS "check", '{t}' AS subject,
                        (SELECT count(*) FROM {t})
                        - (SELECT count(*) FROM (SELECT DISTINCT * FROM {t})) AS failures"""
-            for t in _KEYS
+            for t in PRIMARY_KEYS
         ]
         + [
             f"SELECT 'repeated_keys', '{t}', count(*) - count(DISTINCT {k}) FROM {t}"
-            for t, k in _KEYS.items()
+            for t, k in PRIMARY_KEYS.items()
         ]
         + [
             f"""SELECT 'orphans', '{c}.{k}', count(*) FROM {c}
                 WHERE NOT EXISTS (SELECT 1 FROM {p} WHERE {p}.{k} = {c}.{k})"""
-            for c, k, p in _REFERENCES
+            for c, k, p in FOREIGN_KEYS
         ]
     ),
 )
@@ -528,7 +518,7 @@ add(
     " UNION ALL ".join(
         f"""SELECT '{t}' AS subject, count(*) AS row_count, count(DISTINCT {k}) AS distinct_keys,
                    count(*) - count(DISTINCT {k}) AS failures FROM {t}"""
-        for t, k in _KEYS.items()
+        for t, k in PRIMARY_KEYS.items()
     ),
 )
 add(
@@ -536,7 +526,7 @@ add(
     " UNION ALL ".join(
         f"""SELECT '{c}.{k}' AS subject, {k} AS key_value, count(*) AS row_count FROM {c}
             WHERE {k} NOT IN (SELECT {k} FROM {p}) GROUP BY {k}"""
-        for c, k, p in _REFERENCES
+        for c, k, p in FOREIGN_KEYS
     ),
 )
 add(
@@ -692,15 +682,14 @@ add(
 add(
     "product_contribution",
     f"""SELECT revenue_type, {money('amount')} AS amount,
-               CASE revenue_type WHEN 'INTEREST_INCOME' THEN 'Loans Product'
-                    WHEN 'ACCOUNT_MAINTENANCE_FEE' THEN 'Savings Accounts'
-                    WHEN 'TRANSACTION_FEE' THEN 'Credit Cards'
-                    WHEN 'LATE_FEE' THEN 'Investments Portal' END AS product
+               {choice('revenue_type', PRODUCT_OF_REVENUE)} AS product
         FROM revenue GROUP BY revenue_type""",
 )
-_SHARES = """(VALUES ('Loans', 0.45e0, 0.30e0), ('Savings', 0.25e0, 0.25e0),
-                     ('Credit Cards', 0.20e0, 0.30e0), ('Investments', 0.10e0, 0.15e0))
-             AS s(product, r, c)"""
+_SHARES = (
+    "(VALUES "
+    + ", ".join(f"('{product}', {r}e0, {c}e0)" for product, r, c in PRODUCT_SHARES)
+    + ") AS s(product, r, c)"
+)
 add(
     "product_profit",
     f"""SELECT product, total_revenue * r AS revenue, total_costs * c AS costs,
@@ -865,9 +854,7 @@ add(
                {day(f"CAST(transaction_date - {between('user_id', 7, 1, 2920)} AS DATE)")}
                AS customer_since,
                'kaggle_enhanced' AS data_source
-        FROM (SELECT *, CASE WHEN account_balance > 500000 THEN 'PREMIUM'
-                             WHEN account_balance > 100000 THEN 'STANDARD' ELSE 'BASIC' END AS segment
-              FROM cleaned
+        FROM (SELECT *, {SEGMENT} AS segment FROM cleaned
               QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY event_id) = 1)""",
 )
 add(

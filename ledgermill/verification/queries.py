@@ -753,11 +753,11 @@ def branch_volume_batch(bank):
 def branch_volume_stream(bank):
     """The same windows from a stream run to its end."""
     spark = bank.spark
-    schema = spark.read.parquet(f"{bank.folder}/events.parquet").schema
+    schema = bank.table("events").schema
     # A glob matches the table both as one file and as a folder of parts.
     stream = spark.readStream.schema(schema).parquet(f"{bank.folder}/events.parquet*")
     streamed = BankTables(spark, bank.folder)
-    streamed.table = lambda name: stream
+    streamed._tables["events"] = stream
     out, checkpoint = fresh_folder(spark, "volume"), fresh_folder(spark, "volume-state")
     started = sinks.to_lake(
         volume.stream_volume(_card_events(streamed)), out, checkpoint, available_now=True

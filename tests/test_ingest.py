@@ -184,9 +184,13 @@ def test_missing_silver_is_reported(spark, tmp_path):
 
 def test_sources_resolve_in_order(spark, lake):
     base, entity, _, _ = lake
-    from_gold = jobs.resolve_branch_performance(spark, str(base), str(entity))
+    unreachable = warehouse.Warehouse("jdbc:none://nowhere/bank")
+    from_gold = jobs.resolve_mart(spark, "branch_performance", str(base), str(entity), unreachable)
     assert from_gold.source == "gold"
-    from_entities = jobs.resolve_branch_performance(spark, str(base / "absent"), str(entity))
+    absent = str(base / "absent")
+    from_entities = jobs.resolve_mart(spark, "branch_performance", absent, str(entity))
+    assert jobs.resolve_mart(spark, "loan_portfolio", absent, str(entity)).frame.count() == 41
+    assert jobs.resolve_mart(spark, "customer_profitability", str(base), str(entity)).source == "gold"
     assert from_entities.source == "entities"
     gold_rows = {r.branch_id: r.cost_income_ratio for r in from_gold.frame.collect()}
     entity_rows = {r.branch_id: r.cost_income_ratio for r in from_entities.frame.collect()}
@@ -229,3 +233,14 @@ def test_command_line(spark, lake, raw_file, tmp_path, capsys):
     shown = capsys.readouterr().out
     for text in ("orphans", "TransactionDate", "median_amount", "total_revenue", "risk_category", "LOW_PRODUCTIVITY", "net_income"):
         assert text in shown
+
+
+def test_warehouse_views_answer_sql(spark, lake):
+    base, _, _, _ = lake
+    assert len(jobs.register_views(spark, str(base))) == 6
+    best = spark.sql("SELECT efficiency_rating, count(*) n FROM vw_branch_performance GROUP BY 1")
+    assert sum(r.n for r in best.collect()) == 3
+    assert spark.sql("SELECT total_customers FROM vw_summary_kpis").first()[0] == 39
+    assert spark.sql("SELECT * FROM vw_loan_risk_analytics WHERE risk_rating = 'Low'").count() > 0
+    assert spark.sql("SELECT * FROM vw_realtime_branch_tps").count() == 3
+    assert spark.sql("SELECT * FROM vw_loan_portfolio").count() == 3
