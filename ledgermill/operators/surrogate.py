@@ -50,7 +50,33 @@ def padded_id(number: Column | str, prefix: str, width: int) -> Column:
     )
 
 
-def ids_within_group(df: DataFrame, group: str, order: list[str], name: str) -> DataFrame:
-    """Number the rows of each group from zero; for groups known to be small."""
-    window = Window.partitionBy(group).orderBy(*order)
-    return df.withColumn(name, F.row_number().over(window) - 1)
+def ids_within_group(
+    df: DataFrame,
+    group: str,
+    order: list[str],
+    bucket: Column,
+    buckets: int = BUCKETS,
+    name: str = "row_number",
+) -> DataFrame:
+    """Number the rows of each group from zero by (bucket, order).
+
+    A hot group is numbered in ``buckets`` tasks; the bucket starts are joined
+    on group and bucket, the partitioning the numbering already has.
+    """
+    placed = df.withColumn("_bucket", F.pmod(bucket, F.lit(buckets)))
+    running = (
+        Window.partitionBy("_group").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    starts = (
+        placed.groupBy(F.col(group).alias("_group"), F.col("_bucket").alias("_at"))
+        .agg(F.count(F.lit(1)).alias("_size"))
+        .select("_group", "_at", F.coalesce(F.sum("_size").over(running), F.lit(0)).alias("_start"))
+    )
+    inside = Window.partitionBy(group, "_bucket").orderBy(*order)
+    same = F.col(group).eqNullSafe(F.col("_group")) & (F.col("_bucket") == F.col("_at"))
+    return (
+        placed.withColumn("_place", F.row_number().over(inside))
+        .join(starts, same)
+        .withColumn(name, F.col("_start") + F.col("_place") - 1)
+        .drop("_bucket", "_place", "_start", "_group", "_at")
+    )

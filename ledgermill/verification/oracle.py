@@ -897,6 +897,14 @@ add(
         FROM transactions""",
 )
 
+add(
+    "ids_per_branch",
+    f"""SELECT loan_id, printf('LOAN_%03d_%03d', branch_id, row_number() OVER
+               (PARTITION BY branch_id ORDER BY {draw('loan_id', 9)} % 8, loan_id) - 1)
+               AS surrogate_id
+        FROM loans""",
+)
+
 # --- events -----------------------------------------------------------------
 
 _VOLUME = f"""SELECT {second('started')} AS window_start,

@@ -727,6 +727,22 @@ def sequential_ids(bank):
     )
 
 
+@query
+def ids_per_branch(bank):
+    numbered = surrogate.ids_within_group(
+        bank.loans.select("branch_id", "loan_id"),
+        "branch_id",
+        ["loan_id"],
+        draws.number_draw("loan_id", 9),
+        buckets=8,
+    )
+    number = surrogate.padded_id("row_number", "_", 3)
+    return numbered.select(
+        "loan_id",
+        F.concat(surrogate.padded_id("branch_id", "LOAN_", 3), number).alias("surrogate_id"),
+    )
+
+
 @query
 def hash_positions(bank):
     """How evenly a stable hash spreads the customers over sixteen positions."""

@@ -134,9 +134,11 @@ def test_surrogate_ids_are_dense_and_stable(spark):
         surrogate.sequential_ids(df, ["id"], F.col("id"), buckets=10**6)
     ids = spark.createDataFrame([(5,), (123456,)], "n int").select(surrogate.padded_id("n", "X_", 4))
     assert [r[0] for r in ids.collect()] == ["X_0005", "X_123456"]
-    grouped = spark.createDataFrame([("a", 9), ("a", 3), ("b", 1)], "g string, o int")
-    got = surrogate.ids_within_group(grouped, "g", ["o"], "n").collect()
-    assert {(r.g, r.o, r.n) for r in got} == {("a", 3, 0), ("a", 9, 1), ("b", 1, 0)}
+    rows = [("hot", i) for i in range(500)] + [("cold", 600), (None, 700), (None, 701)]
+    grouped = spark.createDataFrame(rows, "g string, o bigint")
+    numbered = surrogate.ids_within_group(grouped, "g", ["o"], number_draw("o", 1), 8).collect()
+    for group, size in (("hot", 500), ("cold", 1), (None, 2)):
+        assert sorted(r.row_number for r in numbered if r.g == group) == list(range(size))
 
 
 def test_allocation_adds_up(spark):
