@@ -3,8 +3,9 @@
 A sum of doubles changes in its last digits with the order of the rows, so two
 runs of one job would differ. Money is therefore summed as whole paise in a
 BIGINT (as cheap as a double sum, and combined on the map side), and turned
-back into rupees once per group. One group holds up to 92 quadrillion rupees;
-beyond that ANSI mode raises.
+back into rupees once per group. Amounts are held to the paisa: a finer amount
+is rounded in its row. One group holds up to 92 quadrillion rupees; beyond that
+ANSI mode raises.
 """
 
 from __future__ import annotations

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +13,11 @@ from ledgermill.sources.paths import stored
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+    """Union-all by name, in halves to keep the plan shallow."""
+    if len(frames) == 1:
+        return frames[0]
+    middle = len(frames) // 2
+    return union_all(frames[:middle]).unionByName(union_all(frames[middle:]))
 
 
 def _surplus(count: str) -> Column:

@@ -13,10 +13,10 @@ BROADCAST_ROWS = 200_000
 def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only when the frame is counted to be small.
 
-    The count stops one row past the limit. Beyond it the frame is returned
-    without a hint and the join is planned as a shuffle.
+    Beyond the limit the frame is returned without a hint and the join is
+    planned as a shuffle.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 def key_set(df: DataFrame, key: str) -> DataFrame:

@@ -117,7 +117,9 @@ def write_gated(
 ) -> GateOutcome:
     """Write the valid rows and append the rejected ones.
 
-    Columns in ``rejected_only`` are kept with the rejected rows alone.
+    Columns in ``rejected_only`` are kept with the rejected rows alone. The
+    counts are for the log: a stage run again after a lost executor may count
+    its rows twice, while both written tables stay exact.
 
     Both counts are observed while the valid rows are written, so a clean input
     is scanned once and only an input with rejects is scanned again.

@@ -92,7 +92,8 @@ def bronze_to_silver(
     """Type, band and gate every entity; facts are partitioned by month.
 
     A line that does not fit its schema is quarantined with its text, also for
-    the entities that have no rules of their own.
+    the entities that have no rules of their own, and so is a transaction whose
+    day cannot be read.
     """
     outcome: dict[str, GateOutcome] = {}
     for entity in ENTITIES:
@@ -102,6 +103,8 @@ def bronze_to_silver(
             df = silver.with_month(df, silver.FACT_DAY[entity])
             partition_by = ["month"]
         gate = GATES.get(entity, Gate(entity, []))
+        if entity == "transactions":
+            gate = gate.with_rule("day is unreadable", "transaction_date IS NOT NULL")
         outcome[entity] = write_gated(
             df,
             gate.with_rule("line is malformed", f"{CORRUPT} IS NULL"),

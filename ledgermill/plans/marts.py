@@ -41,9 +41,12 @@ from ledgermill.schemas import PRODUCT_OF_REVENUE, RISK_SEVERITY
 def _by_month(
     df: DataFrame, day: str, keys: Sequence[str], aggregates: Sequence[Column]
 ) -> DataFrame:
-    """Group by keys and month; the label is formatted once per group."""
+    """Group by keys and month; the label is formatted once per group.
+
+    Rows without a day or a key belong to no group.
+    """
     return (
-        df.filter(F.col(day).isNotNull())
+        df.dropna(subset=[day, *keys])
         .groupBy(*keys, month_start(day).alias("_month"))
         .agg(*aggregates)
         .withColumn("month", month_key("_month"))

@@ -146,6 +146,12 @@ def test_monthly_totals_survive_the_rollup(bank):
     assert (trend["2024-01"].amount_rev, trend["2024-01"].amount_cost) == (100.1, 80.0)
 
 
+def test_rows_without_a_branch_belong_to_no_month(spark):
+    rows = [("r", None, "LATE_FEE", 5.0, date(2024, 1, 1)), ("s", "b", "LATE_FEE", 7.0, date(2024, 1, 1))]
+    df = spark.createDataFrame(rows, "revenue_id string, branch_id string, revenue_type string, amount double, event_date date")
+    assert [r.amount for r in marts.monthly_revenue(df).collect()] == [7.0]
+
+
 def test_ratio_matrix(bank):
     revenue, costs = marts.monthly_revenue(bank["revenue"]), marts.monthly_costs(bank["costs"])
     mart = gold.branch_performance(bank["revenue"], bank["costs"], bank["transactions"], AS_OF)

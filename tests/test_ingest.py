@@ -121,6 +121,7 @@ def lake(spark, tmp_path_factory):
             *[f"t{i},c{i % 40},a,{i}.25,PURCHASE,X,,2024-0{1 + i % 3}-05,BR_00{i % 3},INR,x" for i in range(60)],
             "bad1,c1,a,-5,PURCHASE,X,,2024-01-05,BR_001,INR,x",
             "bad2,,a,5,PURCHASE,X,,2024-01-05,BR_001,INR,x",
+            "bad3,c1,a,5,PURCHASE,X,,31/2/90,BR_001,INR,x",
         ],
         "revenue": [
             "revenue_id,customer_id,account_id,revenue_type,amount,event_date,branch_id,description",
@@ -152,7 +153,7 @@ def lake(spark, tmp_path_factory):
 def test_silver_gate_and_layout(spark, lake):
     base, _, outcome, _ = lake
     assert (outcome["customers"].valid_rows, outcome["customers"].rejected_rows) == (39, 2)
-    assert (outcome["transactions"].valid_rows, outcome["transactions"].rejected_rows) == (60, 2)
+    assert (outcome["transactions"].valid_rows, outcome["transactions"].rejected_rows) == (60, 3)
     assert (outcome["loans"].rejected_rows, outcome["revenue"].rejected_rows) == (1, 1)
     malformed = spark.read.parquet(f"{base}/quarantine/revenue").first()
     assert malformed.violations == ["line is malformed"] and "oops" in malformed[CORRUPT]
@@ -163,7 +164,9 @@ def test_silver_gate_and_layout(spark, lake):
     assert pruned.count() == 20
     assert "PartitionFilters: [isnotnull(month" in pruned._jdf.queryExecution().executedPlan().toString()
     rejected = spark.read.parquet(f"{base}/quarantine/transactions").collect()
-    assert {tuple(r.violations) for r in rejected} == {("amount is not positive",), ("customer_id is missing",)}
+    assert {tuple(r.violations) for r in rejected} == {
+        ("amount is not positive",), ("customer_id is missing",), ("day is unreadable",),
+    }
 
 
 def test_gold_tables_and_fallback(spark, lake):
