@@ -94,3 +94,37 @@ def test_monthly_rollup(facts):
     for _, _, b, a, d in rows:
         want[(b, d.strftime("%Y-%m"))] += a
     assert got == want
+
+
+def test_shuffled_joins_split_at_the_hot_key(spark):
+    confs = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {key: spark.conf.get(key, None) for key in confs}
+    for key, value in confs.items():
+        spark.conf.set(key, value)
+    try:
+        i = F.col("id")
+        facts = spark.range(0, 60000, 1, 6).select(
+            i.alias("loan_id"), F.when(i % 3 == 0, -1).otherwise(i % 2000).alias("customer_id"),
+            F.xxhash64("id").cast("double").alias("outstanding_balance"), F.lit(0.1).alias("interest_rate"),
+        )
+        parents = spark.range(-1, 1500).select(
+            i.alias("customer_id"), F.lit(1.0).alias("account_balance"), F.lit(1).alias("annual_income")
+        )
+        from ledgermill.plans.risk import loan_features
+
+        for df in (
+            integrity.orphan_rows(facts, "customer_id", parents.filter("customer_id > 5")),
+            quality.with_reference_check(facts, "customer_id", parents, "customer_id", "known"),
+            loan_features(facts, parents),
+        ):
+            used = df.agg(F.sum(F.hash(*df.columns).cast("bigint")))
+            used.collect()
+            assert "SortMergeJoin(skew=true)" in used._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in old.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
