@@ -34,14 +34,22 @@ def to_console(volume: DataFrame, checkpoint: str) -> StreamingQuery:
 
 
 def to_lake(
-    volume: DataFrame, path: str, checkpoint: str, available_now: bool = False
+    volume: DataFrame,
+    path: str,
+    checkpoint: str,
+    available_now: bool = False,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Write every micro-batch to ``path/batch_id=n``."""
+    """Write every micro-batch to ``path/batch_id=n``.
+
+    The number of state partitions is fixed when a checkpoint is new: the
+    session's shuffle partitions, or ``state_partitions`` when given.
+    """
 
     def save(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    return _start(volume, save, checkpoint, available_now)
+    return _start(volume, save, checkpoint, available_now, state_partitions)
 
 
 def to_lake_and_warehouse(
@@ -75,6 +83,7 @@ def _start(
     save: Callable[[DataFrame, int], None],
     checkpoint: str,
     available_now: bool,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     writer = (
         volume.writeStream.outputMode("update")
@@ -83,7 +92,16 @@ def _start(
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
-    return writer.start()
+    if state_partitions is None:
+        return writer.start()
+    # A started query keeps its own copy of the session's settings.
+    conf = volume.sparkSession.conf
+    before = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", before)
 
 
 def latest_windows(spark: SparkSession, path: str) -> DataFrame:

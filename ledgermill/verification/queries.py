@@ -776,7 +776,11 @@ def branch_volume_stream(bank):
     streamed._tables["events"] = stream
     out, checkpoint = fresh_folder(spark, "volume"), fresh_folder(spark, "volume-state")
     started = sinks.to_lake(
-        volume.stream_volume(_card_events(streamed)), out, checkpoint, available_now=True
+        volume.stream_volume(_card_events(streamed)),
+        out,
+        checkpoint,
+        available_now=True,
+        state_partitions=spark.sparkContext.defaultParallelism,
     )
     started.awaitTermination()
     return sinks.latest_windows(spark, out)

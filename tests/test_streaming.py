@@ -102,6 +102,21 @@ def test_late_event_is_dropped_after_a_filler_batch(spark, tmp_path):
     assert counts["10:00"] == 1
 
 
+def test_state_partitions_leave_the_session_alone(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "0.json").write_text(json.dumps(card(1, "2024-01-01 10:00:30")) + "\n")
+    cards = decode.typed_events(
+        decode.decode(kafka.read_json_files(spark, str(tmp_path / "in"))), "CARD_TRANSACTION"
+    )
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    out, state = str(tmp_path / "out"), tmp_path / "state"
+    query = sinks.to_lake(volume.stream_volume(cards), out, str(state), True, state_partitions=3)
+    query.awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert sorted(p.name for p in (state / "state" / "0").iterdir() if p.name.isdigit()) == ["0", "1", "2"]
+    assert sinks.latest_windows(spark, out).count() == 5
+
+
 def test_console_sink(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "0.json").write_text(json.dumps(card(1, "2024-01-01 10:00:30")) + "\n")
