@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgermill.operators.integrity import integrity_report
 from ledgermill.operators.profiling import amount_statistics, column_nulls
 from ledgermill.plans import gold, integrate, jobs, marts
-from ledgermill.schemas import CORRUPT, ENTITIES
+from ledgermill.schemas import CORRUPT
 from ledgermill.session import build_session
 from ledgermill.sources import files, kafka
 
@@ -97,11 +97,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         if result.scoring_error:
             print("scoring failed:", result.scoring_error)
     elif args.command == "integrity":
-        tables = {
-            name: files.read_entity(spark, args.entity_path, name).drop(CORRUPT)
-            for name in ENTITIES
-        }
-        integrity_report(tables).show(50, truncate=False)
+        tables = files.read_entities(spark, args.entity_path).items()
+        report_rows = integrity_report({name: df.drop(CORRUPT) for name, df in tables})
+        report_rows.show(50, truncate=False)
     elif args.command == "profile":
         raw = files.read_raw(spark, args.raw_path).drop(*files.FILE_ORDER)
         column_nulls(raw).show(truncate=False)

@@ -183,14 +183,16 @@ class BankTables:
             .otherwise("UNLISTED")
         )
         card = kind < 6
+        branch = F.concat(F.lit("BR_"), F.col("event_id") % 70)
+        untimed = F.col("event_id") % 31 == 0
         body = F.to_json(
             F.struct(
                 event_type.alias("event_type"),
                 F.when(card, F.concat(F.lit("TXN-"), "event_id")).alias("transaction_id"),
                 F.concat(F.lit("CUST-"), "user_id").alias("customer_id"),
-                F.when(kind != 7, F.concat(F.lit("BR_"), F.col("event_id") % 70)).alias("branch_id"),
+                F.when(kind != 7, branch).alias("branch_id"),
                 F.when(card, F.expr("floor(value * 2000 + 0.5e0) / 100")).alias("amount"),
-                F.when(F.col("event_id") % 31 == 0, "not a time").otherwise(stamp).alias("timestamp"),
+                F.when(untimed, "not a time").otherwise(stamp).alias("timestamp"),
             )
         )
         broken = F.col("event_id") % 37 == 0

@@ -166,7 +166,10 @@ def layer_assertions(customers: DataFrame, transactions: DataFrame) -> DataFrame
         ),
     ]
     return union_all(
-        [frame.toDF("failures").select(F.lit(name).alias("check"), "failures") for name, frame in checks]
+        [
+            frame.toDF("failures").select(F.lit(name).alias("check"), "failures")
+            for name, frame in checks
+        ]
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.functions.bands import as_column
-from ledgermill.functions.money import mean_money, number_or, paise, rupees, safe_ratio
+from ledgermill.functions.money import number_or, paise, rupees, safe_ratio
 from ledgermill.operators.selection import exact_median_money
 
 
@@ -74,7 +74,3 @@ def amount_statistics(df: DataFrame, amount: str, key: str) -> DataFrame:
 def approximate_distinct(df: DataFrame, keys: Sequence[str], rsd: float = 0.02) -> DataFrame:
     """Distinct counts of several columns in one pass, within a stated error."""
     return df.agg(*[F.approx_count_distinct(k, rsd).alias(k) for k in keys])
-
-
-def mean_amounts(df: DataFrame, amounts: Sequence[str]) -> DataFrame:
-    return df.agg(*[mean_money(a).alias(a) for a in amounts])

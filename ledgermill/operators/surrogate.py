@@ -2,8 +2,9 @@
 
 Rows are spread over hash buckets of a unique key, numbered inside the bucket,
 and shifted by the running total of the bucket sizes. The only single-task step
-sums ``buckets`` numbers, and that table of at most ``buckets`` rows is broadcast. Numbers depend on the keys alone, so a retried task
-gives the same ids.
+sums ``buckets`` numbers, and that table of at most ``buckets`` rows is
+broadcast. Numbers depend on the keys alone, so a retried task gives the same
+ids.
 """
 
 from __future__ import annotations
@@ -45,9 +46,8 @@ def sequential_ids(
 def padded_id(number: Column | str, prefix: str, width: int) -> Column:
     """``TX_00000001``; a longer number is kept whole."""
     digits = as_column(number).cast("string")
-    return F.concat(
-        F.lit(prefix), F.when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits)
-    )
+    padded = F.when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits)
+    return F.concat(F.lit(prefix), padded)
 
 
 def ids_within_group(

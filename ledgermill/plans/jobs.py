@@ -63,7 +63,9 @@ def integrate_raw(
     overwrite_csv(
         integrate.customer_dimension(cleaned, files.FILE_ORDER), f"{out_path}/customers.csv"
     )
-    written = {name: files.read_entity(spark, out_path, name) for name in ("transactions", "customers")}
+    written = {
+        name: files.read_entity(spark, out_path, name) for name in ("transactions", "customers")
+    }
     return IntegrateResult(
         gaps=columns_with_gaps(cleaned.drop(*files.FILE_ORDER)),
         statistics=amount_statistics(cleaned, "account_balance", "customer_id"),
@@ -214,7 +216,9 @@ def _from_entities(spark: SparkSession, entity_path: str, mart: str) -> DataFram
         return files.read_entity(spark, entity_path, name).drop(CORRUPT)
 
     if mart == "branch_performance":
-        return gold.branch_ratio_from_entities(entity("branches"), entity("revenue"), entity("costs"))
+        return gold.branch_ratio_from_entities(
+            entity("branches"), entity("revenue"), entity("costs")
+        )
     return entity("customers" if mart == "customer_profitability" else "loans")
 
 

@@ -159,9 +159,8 @@ def top_branches(branch_details: DataFrame, n: int = 10) -> DataFrame:
 
 
 def top_bottom_branches(branch_details: DataFrame, n: int = 5) -> DataFrame:
-    return top_and_bottom(
-        branch_details.select("branch_id", "branch_name", "net_income"), "net_income", "branch_id", n
-    )
+    columns = branch_details.select("branch_id", "branch_name", "net_income")
+    return top_and_bottom(columns, "net_income", "branch_id", n)
 
 
 def branch_drilldown(
@@ -478,7 +477,9 @@ def to_home_currency(
     transactions: DataFrame, rates: DataFrame, home: str = "INR"
 ) -> DataFrame:
     """Amounts in the home currency by the day's rate; an unknown rate gives NULL."""
-    daily = broadcast_checked(rates.select("currency", F.col("rate_date").alias("transaction_date"), "rate"))
+    daily = broadcast_checked(
+        rates.select("currency", F.col("rate_date").alias("transaction_date"), "rate")
+    )
     joined = transactions.join(daily, ["currency", "transaction_date"], "left")
     rate = F.when(F.col("currency") == home, F.lit(1.0)).otherwise(F.col("rate"))
     return joined.withColumn("amount_home", F.rint(F.col("amount") * rate * 100) / 100).drop("rate")

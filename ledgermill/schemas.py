@@ -13,8 +13,6 @@ from pyspark.sql import types as T
 
 DEBIT_TYPES = ["WITHDRAWAL", "PAYMENT", "PURCHASE"]
 CREDIT_TYPES = ["DEPOSIT", "TRANSFER"]
-COST_CATEGORIES = ["STAFF_SALARIES", "TECHNOLOGY", "FACILITIES", "MARKETING", "COMPLIANCE"]
-LOAN_TYPES = ["HOME_LOAN", "PERSONAL_LOAN", "CAR_LOAN", "EDUCATION_LOAN"]
 RISK_SEVERITY = ["Critical Risk", "High Risk", "Moderate Risk", "Low Risk"]
 
 # revenue type -> product label
