@@ -6,8 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ledgermill.llm.simhash import edit_fingerprints, within_radius
 from ledgermill.llm.token_counts import count_tokens
+from ledgermill.llm.token_files import read_token_files, write_token_files
+from ledgermill.sources.paths import fresh_folder, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,8 +25,30 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and its edited form.
+
+    ``near_count`` is, for ids divisible by 50, the number of other fingerprints
+    within 8 of 256 bits among those of all documents; NULL for the other ids.
+    """
+    prints = stored(edit_fingerprints(table(spark, folder, "documents")), "fingerprints")
+    asked = prints.where(F.col("doc_id") % 50 == 0).select("fingerprint")
+    near = within_radius(asked, prints, 8).groupBy(F.col("query").alias("fingerprint")).agg(F.count("*").alias("n"))
+    count = F.when(F.col("doc_id") % 50 == 0, F.coalesce("n", F.lit(0)))
+    return prints.join(near, "fingerprint", "left").select(*prints.columns, count.alias("near_count"))
+
+
+def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of every document, written to files and read back from them."""
+    out = fresh_folder(spark, "tokens")
+    write_token_files(table(spark, folder, "documents"), out, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return read_token_files(spark, out)
+
+
 REGISTRY: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
+    "op2_simhash": op2_simhash,
+    "op10_token_files": op10_token_files,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
