@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgermill.llm.language import held_out, label_languages, train_language_model
+from ledgermill.llm.markov import score_texts
 from ledgermill.llm.simhash import edit_fingerprints, within_radius
 from ledgermill.llm.token_counts import count_tokens
 from ledgermill.llm.token_files import read_token_files, write_token_files
@@ -38,6 +40,21 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return prints.join(near, "fingerprint", "left").select(*prints.columns, count.alias("near_count"))
 
 
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from three of four of them."""
+    docs = table(spark, folder, "documents")
+    model = train_language_model(docs.where(~held_out("doc_id", 4, 2)))
+    return label_languages(docs, model).select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
+
+
+def op7_markov_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Log-probability of every document by a model learned from four of five of them."""
+    scored = score_texts(table(spark, folder, "documents"), ~held_out("doc_id", 5, 1))
+    return scored.select(
+        "doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document, written to files and read back from them."""
     out = fresh_folder(spark, "tokens")
@@ -48,6 +65,8 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 REGISTRY: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_simhash": op2_simhash,
+    "op4_language": op4_language,
+    "op7_markov_model": op7_markov_model,
     "op10_token_files": op10_token_files,
 }
 
