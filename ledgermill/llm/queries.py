@@ -31,11 +31,11 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of every document and its edited form.
 
     ``near_count`` is, for ids divisible by 50, the number of other fingerprints
-    within 8 of 256 bits among those of all documents; NULL for the other ids.
+    within 7 of 256 bits among those of all documents; NULL for the other ids.
     """
     prints = stored(edit_fingerprints(table(spark, folder, "documents")), "fingerprints")
     asked = prints.where(F.col("doc_id") % 50 == 0).select("fingerprint")
-    near = within_radius(asked, prints, 8).groupBy(F.col("query").alias("fingerprint")).agg(F.count("*").alias("n"))
+    near = within_radius(asked, prints, 7).groupBy(F.col("query").alias("fingerprint")).agg(F.count("*").alias("n"))
     count = F.when(F.col("doc_id") % 50 == 0, F.coalesce("n", F.lit(0)))
     return prints.join(near, "fingerprint", "left").select(*prints.columns, count.alias("near_count"))
 

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm.ordered import AT, range_bounds, ranges_of, shuffle_tasks, with_range
@@ -152,38 +152,65 @@ def edit_fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: s
     )
 
 
+def hex_number(text: Column, start: int, digits: int) -> Column:
+    """Up to 16 hexadecimal digits from ``start`` (0 is the first) as a BIGINT with the same bits."""
+
+    def part(at: int, size: int) -> Column:
+        return F.conv(F.substring(text, at + 1, size), 16, 10).cast("bigint")
+
+    if digits <= 8:
+        return part(start, digits)
+    return F.shiftleft(part(start, digits - 8), 32).bitwiseOR(part(start + digits - 8, 8))
+
+
 def within_radius(queries: DataFrame, prints: DataFrame, radius: int) -> DataFrame:
     """All pairs (query, found, distance) of different fingerprints at most ``radius`` bits apart.
 
     Both frames have a column ``fingerprint``; equal ones count once, and NULL
-    ones are left out. The bits are cut into ``radius + 1`` blocks: two
+    ones are left out. The digits are cut into ``radius + 1`` blocks: two
     fingerprints within the radius agree on one block at least. One table per
     block holds all fingerprints with that block in front as the key, and a query
-    looks into each table. A pair is given by the first table that has it.
+    looks into each table. A pair is given by the first table that has it. A radius
+    of 3 at least is asked for, so that a block fits into 64 bits.
     """
-    digits = BITS // 4
+    lanes, digits = BITS // 64, BITS // 4
     cuts = [round(i * digits / (radius + 1)) for i in range(radius + 2)]
+    blocks = list(zip(cuts, cuts[1:], strict=False))
 
     def tables(df: DataFrame, name: str) -> DataFrame:
-        blocks = [
-            F.struct(F.lit(i).alias("table"), F.substring(name, a + 1, b - a).alias("block"))
-            for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))
-        ]
-        one = df.select(F.col("fingerprint").alias(name)).where(F.col(name).isNotNull()).distinct()
-        halves = [F.conv(F.substring(name, 1 + 16 * i, 16), 16, -10).cast("bigint").alias(f"{name}{i}") for i in range(BITS // 64)]
-        return one.select(name, *halves, F.explode(F.array(*blocks)).alias("_b")).select("*", "_b.*").drop("_b")
-
-    q, p = tables(queries, "query"), tables(prints, "found")
-    distance = sum((F.bit_count(F.col(f"query{i}").bitwiseXOR(F.col(f"found{i}"))) for i in range(BITS // 64)), F.lit(0))
+        text = F.col("fingerprint")
+        key = [F.struct(F.lit(i).alias("table"), hex_number(text, a, b - a).alias("block")) for i, (a, b) in enumerate(blocks)]
+        halves = [hex_number(text, 16 * i, 16).alias(f"{name}{i}") for i in range(lanes)]
+        one = df.select(text).where(text.isNotNull()).distinct()
+        return one.select(*halves, F.explode(F.array(*key)).alias("_b")).select("*", "_b.*").drop("_b")
+
+    q, p = tables(queries, "q"), tables(prints, "p")
+    differing = [F.col(f"q{i}").bitwiseXOR(F.col(f"p{i}")) for i in range(lanes)]
+    distance = sum((F.bit_count(x) for x in differing), F.lit(0))
+
+    def agree(a: int, b: int) -> Column:
+        """Whether the digits from ``a`` to ``b`` are the same."""
+        same = F.lit(True)
+        for i in range(a // 16, -(-b // 16)):
+            first, last = max(a - 16 * i, 0), min(b - 16 * i, 16)
+            mask = ((1 << 4 * (last - first)) - 1) << 4 * (16 - last)
+            signed = mask - (1 << 64) if mask >> 63 else mask
+            same = same & (differing[i].bitwiseAND(F.lit(signed).cast("bigint")) == 0)
+        return same
+
     earlier = F.lit(False)
-    for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-        same = F.substring("query", a + 1, b - a) == F.substring("found", a + 1, b - a)
-        earlier = earlier | ((F.lit(i) < F.col("q.table")) & same)
+    for i, (a, b) in enumerate(blocks[:-1]):
+        earlier = earlier | ((F.lit(i) < F.col("q.table")) & agree(a, b))
     condition = (
         (F.col("q.table") == F.col("p.table"))
         & (F.col("q.block") == F.col("p.block"))
-        & (F.col("query") != F.col("found"))
+        & (distance > 0)
         & (distance <= radius)
         & ~earlier
     )
-    return q.alias("q").join(p.alias("p"), condition).select("query", "found", distance.alias("distance"))
+
+    def as_text(name: str) -> Column:
+        return F.concat(*(F.lpad(F.lower(F.hex(F.col(f"{name}{i}"))), 16, "0") for i in range(lanes)))
+
+    pairs = q.alias("q").join(p.alias("p"), condition)
+    return pairs.select(as_text("q").alias("query"), as_text("p").alias("found"), distance.alias("distance"))
