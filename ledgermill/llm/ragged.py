@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Text bytes worked on at once in a task.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def text_slices(
