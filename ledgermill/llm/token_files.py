@@ -20,6 +20,7 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyarrow import fs
@@ -141,8 +142,7 @@ class WordEncoder:
 
     Right for tokenizers that drop white space and never merge across it, as the
     word-end vocabulary does: the ids of a text are those of its words in turn.
-    Distinct words go to the library many at a time, with one of its special
-    strings between them, whose id then shows where each word's ids end.
+    Distinct words go to the library many at a time.
     """
 
     WORDS_AT_ONCE = 4096
@@ -150,34 +150,62 @@ class WordEncoder:
     def __init__(self, path: str, end_id: int) -> None:
         self.library = Tokenizer.from_file(path)
         self.end_id = end_id
-        self.between_id, token = min((k, t) for k, t in self.library.get_added_tokens_decoder().items() if t.special)
-        self.between = token.content
+        self.specials = {k: t.content for k, t in sorted(self.library.get_added_tokens_decoder().items()) if t.special}
+
+        #: Whether the vocabulary has no capitals, so that words can be lower-cased before they are told apart.
+        self.folds = "Lowercase" in str(json.loads(self.library.to_str())["normalizer"])
+
+    def near_special(self, column: pa.Array) -> bool:
+        """Whether a text holds a special string in any case: lower-casing could make it one."""
+        return any(
+            pc.any(pc.match_substring(column, s, ignore_case=True)).as_py() for s in self.specials.values()
+        )
+
+    def alone(self, words: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+
+    def parted(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and counts of words, with a special string between them to tell them apart."""
+        between_id, between = next(iter(self.specials.items()))
+        if any(between in w for w in words):
+            lists = self.alone(words)
+            return np.array([i for x in lists for i in x], np.int64), np.array([len(x) for x in lists], np.int64)
+        text = between.join(words) + between
+        found = np.array(self.library.encode(text, add_special_tokens=False).ids, np.int64)
+        stops = np.flatnonzero(found == between_id)
+        return found[found != between_id], np.diff(stops, prepend=-1) - 1
+
+    def spaced(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and counts of words of simple characters, with blanks between them; a token's place tells its word."""
+        encoding = self.library.encode(" ".join(words), add_special_tokens=False)
+        starts = np.cumsum([0, *(len(w) + 1 for w in words[:-1])])
+        places = np.fromiter((a for a, _ in encoding.offsets), np.int64, len(encoding))
+        owner = np.searchsorted(starts, places, side="right") - 1
+        return np.array(encoding.ids, np.int64), np.bincount(owner, minlength=len(words))
 
     def word_ids(self, vocabulary: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in a row, and the count of each."""
-        ids, sizes = [], []
-        for at in range(0, len(vocabulary), self.WORDS_AT_ONCE):
-            words = [w.decode("utf-8") for w in vocabulary[at : at + self.WORDS_AT_ONCE]]
-            # A word that holds the special string itself is encoded alone.
-            odd = {i: self.library.encode(w, add_special_tokens=False).ids for i, w in enumerate(words) if self.between in w}
-            text = self.between.join("" if i in odd else w for i, w in enumerate(words)) + self.between
-            found = np.array(self.library.encode(text, add_special_tokens=False).ids, np.int64)
-            stops = np.flatnonzero(found == self.between_id)
-            counts = np.diff(stops, prepend=-1) - 1
-            body = found[found != self.between_id]
-            if odd:
-                parts = np.split(body, np.cumsum(counts)[:-1])
-                for i, own in odd.items():
-                    parts[i] = np.array(own, np.int64)
-                counts, body = np.array([len(x) for x in parts], np.int64), np.concatenate(parts)
-            ids.append(body)
-            sizes.append(counts)
-        none = np.zeros(0, np.int64)
-        return np.concatenate([*ids, none]), np.concatenate([*sizes, none])
+        # Below U+0130 composing and lower-casing keep the number of characters, so places stay true.
+        texts = [w.decode("utf-8") for w in vocabulary]
+        plain = np.array([w.isascii() or max(w) < "\u0130" for w in texts], bool)
+        counts = np.zeros(len(vocabulary), np.int64)
+        bodies = []
+        for chosen, work in ((np.flatnonzero(plain), self.spaced), (np.flatnonzero(~plain), self.parted)):
+            for at in range(0, len(chosen), self.WORDS_AT_ONCE):
+                some = chosen[at : at + self.WORDS_AT_ONCE]
+                body, counts[some] = work([texts[k] for k in some.tolist()])
+                bodies.append(body)
+        # Back into the order of the vocabulary.
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        laid = np.cumsum(counts[order]) - counts[order]
+        first = np.zeros(len(vocabulary), np.int64)
+        first[order] = laid
+        flat = np.concatenate([*bodies, np.zeros(0, np.int64)])
+        return flat[np.repeat(first, counts) + ragged_range(counts)], counts
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each with the end id behind it, and the count of each text."""
-        words = split_words(column)
+        words = split_words(column, lower=self.folds and not self.near_special(column))
         flat, sizes = self.word_ids(words.vocabulary.to_pylist())
         flat, sizes = np.append(flat, self.end_id), np.append(sizes, 1)
         firsts = np.cumsum(sizes) - sizes
