@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgermill.llm.chosen_path import near_duplicate_groups
 from ledgermill.llm.language import held_out, label_languages, train_language_model
 from ledgermill.llm.markov import score_texts
 from ledgermill.llm.simhash import edit_fingerprints, within_radius
 from ledgermill.llm.token_counts import count_tokens
 from ledgermill.llm.token_files import read_token_files, write_token_files
+from ledgermill.llm.url_rules import Rule, judge_pages
 from ledgermill.sources.paths import fresh_folder, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +49,21 @@ def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     return label_languages(docs, model).select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
 
 
+#: The rules of the query.
+URL_RULES = [
+    Rule("allow", "org", "/"),
+    Rule("block", "example.org", "/es/"),
+    Rule("block", "example.org", "/en/1"),
+    Rule("allow", "com", "/fr/"),
+    Rule("block", "com", "/de/"),
+]
+
+
+def op5_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on every page url."""
+    return judge_pages(table(spark, folder, "pages"), URL_RULES)
+
+
 def op7_markov_model(spark: SparkSession, folder: str) -> DataFrame:
     """Log-probability of every document by a model learned from four of five of them."""
     scored = score_texts(table(spark, folder, "documents"), ~held_out("doc_id", 5, 1))
@@ -55,6 +72,11 @@ def op7_markov_model(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_chosen_path(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents whose sets of three-word runs are similar by 0.85 or more."""
+    return near_duplicate_groups(table(spark, folder, "documents"), words_per_shingle=3, threshold=0.85)
+
+
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document, written to files and read back from them."""
     out = fresh_folder(spark, "tokens")
@@ -66,7 +88,9 @@ REGISTRY: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_simhash": op2_simhash,
     "op4_language": op4_language,
+    "op5_url_rules": op5_url_rules,
     "op7_markov_model": op7_markov_model,
+    "op9_chosen_path": op9_chosen_path,
     "op10_token_files": op10_token_files,
 }
 
