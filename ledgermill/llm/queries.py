@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from ledgermill.llm.chosen_path import near_duplicate_groups
 from ledgermill.llm.language import held_out, label_languages, train_language_model
 from ledgermill.llm.markov import score_texts
+from ledgermill.llm.mixing import mix_documents
 from ledgermill.llm.simhash import edit_fingerprints, within_radius
 from ledgermill.llm.token_counts import count_tokens
 from ledgermill.llm.token_files import read_token_files, write_token_files
 from ledgermill.llm.url_rules import Rule, judge_pages
+from ledgermill.llm.weak_labels import score_quality
 from ledgermill.sources.paths import fresh_folder, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +66,11 @@ def op5_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judge_pages(table(spark, folder, "pages"), URL_RULES)
 
 
+def op6_weak_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document from labellers that disagree."""
+    return score_quality(table(spark, folder, "documents"))
+
+
 def op7_markov_model(spark: SparkSession, folder: str) -> DataFrame:
     """Log-probability of every document by a model learned from four of five of them."""
     scored = score_texts(table(spark, folder, "documents"), ~held_out("doc_id", 5, 1))
@@ -72,6 +79,16 @@ def op7_markov_model(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: Shares of tokens that the domains of the labelled table shall have.
+TARGET_WEIGHTS = {"clean": 0.93, "poor": 0.07, "toxic": 0.0}
+
+
+def op8_soft_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Rate of every document that brings its domains to the target weights."""
+    mixed, _ = mix_documents(table(spark, folder, "documents"), table(spark, folder, "labels"), TARGET_WEIGHTS)
+    return mixed
+
+
 def op9_chosen_path(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents whose sets of three-word runs are similar by 0.85 or more."""
     return near_duplicate_groups(table(spark, folder, "documents"), words_per_shingle=3, threshold=0.85)
@@ -89,7 +106,9 @@ REGISTRY: dict[str, Query] = {
     "op2_simhash": op2_simhash,
     "op4_language": op4_language,
     "op5_url_rules": op5_url_rules,
+    "op6_weak_labels": op6_weak_labels,
     "op7_markov_model": op7_markov_model,
+    "op8_soft_mixing": op8_soft_mixing,
     "op9_chosen_path": op9_chosen_path,
     "op10_token_files": op10_token_files,
 }

@@ -35,6 +35,8 @@ from ledgermill.llm.ragged import ragged_range, split_words, text_slices
 SEEK_MAGIC, SEEK_FOOTER, INDEX_MAGIC = 0x184D2A5E, 0x8F92EAB1, 0x184D2A50
 CHECKSUM_FLAG = 0x80
 FRAME_IDS = 1 << 16
+#: Text bytes whose distinct words are encoded together.
+ENCODE_BYTES = 12 << 20
 LEVEL = 3
 MANIFEST = "manifest.json"
 
@@ -257,9 +259,12 @@ def write_token_files(
                 {"range": pa.array([current], pa.int32()), "name": [name], "ids": pa.array([total], pa.int64()), "documents": pa.array([len(writer.keys)], pa.int64())}
             )
 
-        for part in text_slices(batches):
+        for part in text_slices(batches, limit=ENCODE_BYTES):
             numbers = part.column("range").to_numpy()
-            change = np.flatnonzero(np.diff(numbers)) + 1
+            ids, counts = encoder.encode(part.column("text"))
+            ends = np.concatenate([[0], np.cumsum(counts)])
+            keys = part.column("id").to_pylist()
+            change = (np.flatnonzero(np.diff(numbers)) + 1).tolist()
             for a, b in zip([0, *change], [*change, part.num_rows], strict=True):
                 if numbers[a] != current:
                     if writer:
@@ -268,9 +273,7 @@ def write_token_files(
                     partial = f"{top}/.{uuid.uuid4().hex}"
                     sink = store.open_output_stream(partial)
                     writer = FileWriter(sink)
-                run = part.slice(int(a), int(b - a))
-                ids, counts = encoder.encode(run.column("text"))
-                writer.add(run.column("id").to_pylist(), counts, ids)
+                writer.add(keys[a:b], counts[a:b], ids[ends[a] : ends[b]])
         if writer:
             yield finish()
 
