@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm.ragged import SLICE_BYTES, Words, mixed, split_words, text_slices
+from ledgermill.llm.rows import keep_rows
 
 UNKNOWN = "und"
 ORDERS = 4
@@ -205,6 +206,30 @@ def best_paths(scores: np.ndarray, bounds: np.ndarray, penalty: float) -> np.nda
     return path
 
 
+@dataclass
+class Labelled:
+    """Languages of texts: of each word on the best path, and of each text with its share of letters."""
+
+    words: Words
+    path: np.ndarray
+    best: np.ndarray
+    share: np.ndarray
+    total: np.ndarray  # letters of each text
+
+
+def labelled_texts(column: pa.Array, model: LanguageModel, known: dict[int, bool], penalty: float) -> Labelled:
+    """Label texts with a model that knows a language at least."""
+    rows, width = len(column), len(model.languages)
+    words = split_words(column)
+    scores, letters = word_scores(words, model, known)
+    path = best_paths(scores[words.codes], words.bounds, penalty)
+    weight = letters[words.codes]
+    shares = np.bincount(words.document() * width + path, weight, rows * width).reshape(rows, width)
+    total = shares.sum(axis=1)
+    best = shares.argmax(axis=1)
+    return Labelled(words, path, best, shares[np.arange(rows), best] / np.maximum(total, 1), total)
+
+
 def label_languages(
     docs: DataFrame,
     model: LanguageModel,
@@ -225,25 +250,20 @@ def label_languages(
 
     def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = LanguageModel(*shared.value)
+        if not model.languages:
+            # One language that no text is given.
+            model = LanguageModel([UNKNOWN], np.zeros((BUCKETS, 1), np.float32), np.ones((len(SCRIPTS), 1), bool))
         names = np.array([*model.languages, UNKNOWN], dtype=object)
         known: dict[int, bool] = {}
         width = max(1, len(model.languages))
         for part in text_slices(batches, limit=max(1 << 18, SLICE_BYTES * 8 // max(8, width))):
-            words = split_words(part.column("text"))
             rows = part.num_rows
-            scores, letters = word_scores(words, model, known)
-            if not model.languages:
-                letters[:] = 0
-                scores = np.zeros((len(words.vocabulary), 1), np.float32)
-            path = best_paths(scores[words.codes], words.bounds, penalty)
-            document, weight = words.document(), letters[words.codes]
-            shares = np.bincount(document * width + path, weight, rows * width).reshape(rows, width)
-            total = shares.sum(axis=1)
-            best = shares.argmax(axis=1)
-            share = shares[np.arange(rows), best] / np.maximum(total, 1)
+            found = labelled_texts(part.column("text"), model, known, penalty)
+            words, path, best, share, total = found.words, found.path, found.best, found.share, found.total
+            document = words.document()
             change = np.ones(len(path), bool)
             change[1:] = (path[1:] != path[:-1]) | (document[1:] != document[:-1])
-            begin = np.flatnonzero(change & (total[document] > 0))
+            begin = np.flatnonzero(change & (total[document] > 0) & (names[path] != UNKNOWN))
             stop = np.append(np.flatnonzero(change), len(path))
             size = stop[np.searchsorted(stop, begin, side="right")] - begin if len(begin) else begin
             spans = pa.StructArray.from_arrays(
@@ -259,7 +279,7 @@ def label_languages(
                 [
                     part.column("id"),
                     pa.array(np.where(total > 0, names[best], UNKNOWN).tolist(), pa.string()),
-                    pa.array(np.where(total > 0, share, 0.0)),
+                    pa.array(np.where((total > 0) & (names[best] != UNKNOWN), share, 0.0)),
                     pa.ListArray.from_arrays(pa.array(offsets), spans),
                 ],
                 names=[id_column, "lang_pred", "score", "spans"],
@@ -272,6 +292,21 @@ def label_languages(
     )
 
 
+def keep_languages(
+    docs: DataFrame, model: LanguageModel, least: float, text_column: str = "text", penalty: float = SWITCH_PENALTY
+) -> DataFrame:
+    """The rows whose text has a known language with at least the share ``least`` of its letters."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.scores, model.allowed))
+
+    def wanted(column: pa.Array) -> np.ndarray:
+        if not shared.value[0]:
+            return np.zeros(len(column), bool)
+        found = labelled_texts(column, LanguageModel(*shared.value), {}, penalty)
+        return (found.total > 0) & (found.share >= least)
+
+    return keep_rows(docs, text_column, wanted)
+
+
 def held_out(id_column: str, folds: int, fold: int) -> Column:
     """Whether the CRC-32 of the id as text falls in the fold; FALSE for a NULL id."""
     return F.coalesce(F.crc32(F.col(id_column).cast("string")) % folds == fold, F.lit(False))

@@ -102,9 +102,10 @@ class Fit:
 def fit_rates(members: DataFrame, weights: Mapping[str, float], most: float = float("inf")) -> tuple[DataFrame, dict[str, dict[str, float]]]:
     """Members with their rate, and a report of tokens available, wanted and expected by domain.
 
-    The targets are the weights times the largest amount of tokens for which no
-    domain must be repeated. A domain without tokens cannot be given any. A
-    document without words has no part in the totals and rate 1.
+    The targets are the weights times the amount of tokens for which the domain
+    of the largest weight is used just once: others are thinned out or, unless
+    ``most`` forbids it, repeated. A document without words has no part in the
+    totals and rate 1.
     """
     names = [f"p_{d}" for d in DOMAINS]
     count = len(DOMAINS)
@@ -124,9 +125,8 @@ def fit_rates(members: DataFrame, weights: Mapping[str, float], most: float = fl
     available = totals(fit, False)
     wanted_share = np.array([weights.get(d, 0.0) for d in DOMAINS])
     wanted_share = wanted_share / wanted_share.sum()
-    given = wanted_share > 0
-    amount = float((available[given] / wanted_share[given]).min()) if given.any() else 0.0
-    targets = wanted_share * amount
+    main = int(wanted_share.argmax())
+    targets = wanted_share * float(available[main] / wanted_share[main])
     scale = max(1.0, float(available.sum()))
     speed = 1.0
     for _ in range(ROUNDS):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.llm.chosen_path import near_duplicate_groups
 from ledgermill.llm.language import held_out, label_languages, train_language_model
+from ledgermill.llm.latent import contaminated
 from ledgermill.llm.markov import score_texts
 from ledgermill.llm.mixing import mix_documents
 from ledgermill.llm.simhash import edit_fingerprints, within_radius
@@ -44,6 +45,11 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return prints.join(near, "fingerprint", "left").select(*prints.columns, count.alias("near_count"))
 
 
+def op3_latent_retrieval(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold benchmark items, whole or in other words: one row for each document and item."""
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, learned from three of four of them."""
     docs = table(spark, folder, "documents")
@@ -104,6 +110,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 REGISTRY: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_simhash": op2_simhash,
+    "op3_latent_retrieval": op3_latent_retrieval,
     "op4_language": op4_language,
     "op5_url_rules": op5_url_rules,
     "op6_weak_labels": op6_weak_labels,

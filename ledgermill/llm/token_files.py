@@ -38,6 +38,8 @@ FRAME_IDS = 1 << 16
 #: Text bytes whose distinct words are encoded together.
 ENCODE_BYTES = 12 << 20
 LEVEL = 3
+#: Stands for a NULL id in the index of a file.
+NO_ID = -(1 << 63)
 MANIFEST = "manifest.json"
 
 
@@ -231,13 +233,13 @@ def write_token_files(
     """Write the ids of all texts in ascending id order; gives the manifest, also stored beside the files.
 
     NULL and empty texts have the end id alone. Rows of equal id are all kept,
-    ordered by a hash of their text. Rows with a NULL id cannot be asked for and
-    raise. An empty table gives a manifest without files. Each range of ids makes
+    ordered by a hash of their text. Rows with a NULL id come first and cannot be
+    asked for. An empty table gives a manifest without files. Each range of ids makes
     one file; a task writes under a name of its own and renames it when complete,
     so a repeated task replaces a file by the same bytes.
     """
     bounds = range_bounds(docs, id_column)
-    key = F.coalesce(F.col(id_column).cast("bigint"), F.raise_error(F.lit("a document without an id")).cast("bigint"))
+    key = F.coalesce(F.col(id_column).cast("bigint"), F.lit(NO_ID))
     rows = (
         with_range(docs.select(key.alias("id"), F.col(text_column).alias("text")), "id", bounds)
         .repartition(shuffle_tasks(docs), AT)
@@ -321,7 +323,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                     sums = [zlib.crc32(reader.tokens(k)) for k in range(len(reader.keys))]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(reader.keys.astype(np.int64)),
+                            pa.array(reader.keys.astype(np.int64), mask=reader.keys == NO_ID),
                             pa.array(start + reader.starts[:-1]),
                             pa.array(reader.counts.astype(np.int64)),
                             pa.array(sums, pa.int64()),
