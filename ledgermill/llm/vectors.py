@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FAN_IN = 16
+FAN_IN = 64
 SCHEMA = "part int, body binary"
 
 
