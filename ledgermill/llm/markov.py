@@ -27,7 +27,7 @@ from ledgermill.llm.vectors import SCHEMA, task_array, tree_sum
 from ledgermill.sources.paths import stored
 
 #: Words whose counts are looked up instead of joined, and those of them with a class of their own.
-FREQUENT, OWN_CLASS = 1 << 15, 1 << 13
+FREQUENT, OWN_CLASS = 1 << 16, 1 << 13
 BUCKETS = 1 << 12
 END = OWN_CLASS + BUCKETS
 CLASSES = END + 1
