@@ -30,8 +30,7 @@ def parser() -> argparse.ArgumentParser:
     command("bronze", "raw_path", "out_path")
     sub = command("integrate", "raw_path", "out_path")
     sub.add_argument("--as-of", type=date.fromisoformat, default=date.today())
-    sub.add_argument("--limit", type=int, default=10000, help="rows of the sample")
-    sub.add_argument("--full", action="store_true", help="all rows")
+    sub.add_argument("--limit", type=int, help="only a sample of so many rows")
     sub.add_argument("--seed", type=int, default=0)
     command("silver", "entity_path", "base_path")
     sub = command("gold", "base_path")
@@ -82,9 +81,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.command == "bronze":
         jobs.raw_to_bronze(spark, args.raw_path, args.out_path)
     elif args.command == "integrate":
-        limit = None if args.full else args.limit
         result = jobs.integrate_raw(
-            spark, args.raw_path, args.out_path, args.as_of, limit, args.seed
+            spark, args.raw_path, args.out_path, args.as_of, args.limit, args.seed
         )
         for frame in (result.gaps, result.statistics, result.counts):
             frame.show(truncate=False)

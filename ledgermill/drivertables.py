@@ -13,11 +13,8 @@ from pyspark.sql import functions as F
 
 from ledgermill.functions.bands import customer_segment
 
-BRANCHES = 62
-
-
-def _branch(column: str) -> str:
-    return f"{column} % {BRANCHES}"
+#: Every fiftieth transaction is at a branch that does not exist, so orphan checks have something to find.
+ORPHAN_EVERY, ORPHAN_BRANCH = 50, 1_000_000_000
 
 
 class BankTables:
@@ -34,6 +31,11 @@ class BankTables:
             self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._tables[name]
 
+    @cached_property
+    def branch_count(self) -> int:
+        """Suppliers, each of which is a branch; read from the file's footer."""
+        return self.table("supplier").count()
+
     @cached_property
     def branches(self) -> DataFrame:
         nation = self.table("nation").join(
@@ -41,7 +43,6 @@ class BankTables:
         )
         return (
             self.table("supplier")
-            .filter(F.col("s_suppkey") < BRANCHES)
             .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
             .selectExpr(
                 "s_suppkey AS branch_id",
@@ -62,7 +63,7 @@ class BankTables:
                 "n_name AS city",
                 "CAST(18 + c_custkey % 63 AS INT) AS age",
                 "floor(c_acctbal * 6000 + 0.5e0) / 100 AS account_balance",
-                "CAST((c_custkey * 7919) % 1500000 AS INT) AS annual_income",
+                "(c_custkey * 7919) % 1500000 AS annual_income",
                 "date_add(DATE '2016-01-01', CAST(c_custkey % 2900 AS INT)) AS customer_since",
             )
             .withColumn("customer_segment", customer_segment())
@@ -78,7 +79,8 @@ class BankTables:
                WHEN 'signup' THEN 'DEPOSIT' WHEN 'purchase' THEN 'PURCHASE'
                ELSE 'WITHDRAWAL' END AS transaction_type""",
             "CAST(ts AS TIMESTAMP) AS timestamp",
-            "event_id % 70 AS branch_id",
+            f"""CASE WHEN event_id % {ORPHAN_EVERY} = 0 THEN {ORPHAN_BRANCH} + event_id % 7
+                ELSE event_id % {self.branch_count} END AS branch_id""",
         )
 
     @cached_property
@@ -87,7 +89,7 @@ class BankTables:
         return self.table("lineitem").selectExpr(
             "l_orderkey",
             "l_orderkey * 10 + l_linenumber AS revenue_id",
-            f"{_branch('l_suppkey')} AS branch_id",
+            "l_suppkey AS branch_id",
             """CASE WHEN l_returnflag = 'A' THEN 'ACCOUNT_MAINTENANCE_FEE'
                WHEN l_returnflag = 'N' THEN 'TRANSACTION_FEE'
                WHEN l_linestatus = 'F' THEN 'INTEREST_INCOME'
@@ -110,12 +112,12 @@ class BankTables:
     def costs(self) -> DataFrame:
         return self.table("lineitem").selectExpr(
             "l_orderkey * 10 + l_linenumber AS cost_id",
-            f"{_branch('l_suppkey')} AS branch_id",
+            "l_suppkey AS branch_id",
             """CASE l_linenumber % 5 WHEN 0 THEN 'STAFF_SALARIES' WHEN 1 THEN 'TECHNOLOGY'
                WHEN 2 THEN 'FACILITIES' WHEN 3 THEN 'MARKETING'
                ELSE 'COMPLIANCE' END AS cost_category""",
-            f"""floor(floor(l_extendedprice * 100 + 0.5e0) * floor(l_tax * 100 + 0.5e0)
-                * (31 + {_branch('l_suppkey')}) / 6200 + 0.5e0) / 100 AS amount""",
+            """floor(floor(l_extendedprice * 100 + 0.5e0) * floor(l_tax * 100 + 0.5e0)
+                * (31 + l_suppkey % 62) / 6200 + 0.5e0) / 100 AS amount""",
             "CAST(l_shipdate AS DATE) AS cost_date",
         )
 
@@ -135,7 +137,7 @@ class BankTables:
                    ELSE 'EDUCATION_LOAN' END AS loan_type""",
                 "CAST(o_orderdate AS DATE) AS start_date",
                 "CASE WHEN o_orderstatus = 'F' THEN 'CLOSED' ELSE 'ACTIVE' END AS status",
-                f"{_branch('o_custkey')} AS branch_id",
+                f"o_custkey % {self.branch_count} AS branch_id",
             )
         )
 

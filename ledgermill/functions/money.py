@@ -19,9 +19,14 @@ RATE_UNITS = 1_000_000
 MEAN_UNITS = 1_000_000_000
 
 
+def whole(value: Column, kind: str) -> Column:
+    """Rounded to a whole number of the given type; NULL only for NULL and NaN."""
+    return F.rint(F.nanvl(value.cast("double"), F.lit(None).cast("double"))).cast(kind)
+
+
 def paise(amount: Column | str) -> Column:
-    """Whole paise; NaN and out-of-range values count as missing."""
-    return F.rint(as_column(amount) * 100).try_cast("bigint")
+    """Whole paise; NaN counts as missing, an amount beyond the range raises."""
+    return whole(as_column(amount) * 100, "bigint")
 
 
 def rupees(units: Column | str) -> Column:
@@ -41,13 +46,13 @@ def mean_money(amount: Column | str) -> Column:
 
 def mean_rate(rate: Column | str) -> Column:
     """Mean of an interest rate held to six decimals."""
-    units = F.rint(as_column(rate) * RATE_UNITS).try_cast("bigint")
+    units = whole(as_column(rate) * RATE_UNITS, "bigint")
     return F.sum(units).cast("double") / (F.count(units) * RATE_UNITS)
 
 
 def mean_ratio(ratio: Column | str) -> Column:
     """Mean of a computed ratio held to nine decimals."""
-    units = F.rint(as_column(ratio) * MEAN_UNITS).try_cast("decimal(28,0)")
+    units = whole(as_column(ratio) * MEAN_UNITS, "decimal(28,0)")
     return F.sum(units).cast("double") / (F.count(units) * MEAN_UNITS)
 
 
@@ -73,8 +78,9 @@ def number_or(value: Column | str, default: float | None = 0.0) -> Column:
 
 
 def as_crore(amount: Column | str) -> Column:
-    """Display text in crore, two decimals."""
-    return F.format_string("₹%.2f Cr", as_column(amount) / F.lit(10000000.0))
+    """Display text in crore, two decimals; NULL stays NULL."""
+    crore = as_column(amount) / F.lit(10000000.0)
+    return F.when(crore.isNotNull(), F.format_string("₹%.2f Cr", crore))
 
 
 def as_rupees(amount: Column | str) -> Column:
@@ -83,4 +89,6 @@ def as_rupees(amount: Column | str) -> Column:
 
 
 def as_percent(ratio: Column | str, decimals: int = 1) -> Column:
-    return F.format_string(f"%.{decimals}f%%", as_column(ratio) * F.lit(100.0))
+    """Display text in percent; NULL stays NULL."""
+    percent = as_column(ratio) * F.lit(100.0)
+    return F.when(percent.isNotNull(), F.format_string(f"%.{decimals}f%%", percent))

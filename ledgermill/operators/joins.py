@@ -1,23 +1,11 @@
-"""Joins against a side whose size is checked first."""
+"""Sides of joins that are stored first, so that the planner knows their size."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ledgermill.sources.paths import stored
 
-BROADCAST_ROWS = 200_000
-
-
-def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when the frame is counted to be small.
-
-    Beyond the limit the frame is returned without a hint and the join is
-    planned as a shuffle.
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df
-
 
 def key_set(df: DataFrame, key: str) -> DataFrame:
     """The distinct keys of a frame, stored.

@@ -161,7 +161,7 @@ def customer_dimension(
         "account_balance",
         segment.alias("customer_segment"),
         nothing.cast("int").alias("credit_score"),
-        F.rint(income_estimate(segment, "account_balance")).try_cast("int").alias("annual_income"),
+        F.rint(income_estimate(segment, "account_balance")).cast("bigint").alias("annual_income"),
         F.date_sub("transaction_date", offset).alias("customer_since"),
         F.lit(CUSTOMER_SOURCE_TAG).alias("data_source"),
     )

@@ -24,7 +24,6 @@ from ledgermill.functions.money import (
 )
 from ledgermill.functions.text import mapped
 from ledgermill.operators.allocation import allocate
-from ledgermill.operators.joins import broadcast_checked
 from ledgermill.operators.ranking import (
     distinguish_labels,
     latest_n,
@@ -34,6 +33,7 @@ from ledgermill.operators.ranking import (
     top_n,
 )
 from ledgermill.schemas import PRODUCT_OF_REVENUE, RISK_SEVERITY
+from ledgermill.sources.paths import stored
 
 # --- monthly facts ----------------------------------------------------------
 
@@ -121,9 +121,15 @@ def branch_month_ratio(
     return ratios.select(*keys, plain_ratio("amount_cost", "amount_rev").alias("cir"))
 
 
-def ratio_matrix(ratios: DataFrame, months: Sequence[str]) -> DataFrame:
-    """Branch rows, one column per given month."""
-    return ratios.groupBy("branch_id").pivot("month", list(months)).agg(F.max("cir"))
+def ratio_matrix(ratios: DataFrame, months: Sequence[str] | None = None) -> DataFrame:
+    """Branch rows, one column per given month, else for each month there is.
+
+    The ratios are stored when the months must be looked up first, so the facts
+    are read once.
+    """
+    if months is None:
+        ratios = stored(ratios, "branch-month-ratios")
+    return ratios.groupBy("branch_id").pivot("month", None if months is None else list(months)).agg(F.max("cir"))
 
 
 def branch_with_details(branch_view: DataFrame, branches: DataFrame) -> DataFrame:
@@ -348,7 +354,7 @@ def top_outstanding(loan_view: DataFrame, n: int = 15) -> DataFrame:
 
 
 def rate_histogram(loans: DataFrame, bins: int = 12) -> DataFrame:
-    """Active loans per equal-width interest-rate bin, empty bins left out.
+    """Active loans per equal-width interest-rate bin, all bins from the first to the last.
 
     The range comes from the rates themselves; the highest rate belongs to the
     last bin.
@@ -362,7 +368,7 @@ def rate_histogram(loans: DataFrame, bins: int = 12) -> DataFrame:
         spread > 0,
         F.floor((F.col("interest_rate") - F.col("low")) * F.lit(bins) / spread) + 1,
     ).otherwise(1)
-    return (
+    filled = (
         ranged.withColumn("bin", F.least(raw_bin, F.lit(bins)).cast("bigint"))
         .groupBy("bin")
         .agg(
@@ -371,6 +377,10 @@ def rate_histogram(loans: DataFrame, bins: int = 12) -> DataFrame:
             F.max("interest_rate").alias("highest_rate"),
         )
     )
+    every = loans.sparkSession.range(1, bins + 1).withColumnRenamed("id", "bin")
+    return every.join(filled, "bin", "left").withColumn(
+        "loan_count", F.coalesce("loan_count", F.lit(0).cast("bigint"))
+    )
 
 
 def loan_risk_distribution(loans: DataFrame) -> DataFrame:
@@ -477,8 +487,9 @@ def to_home_currency(
     transactions: DataFrame, rates: DataFrame, home: str = "INR"
 ) -> DataFrame:
     """Amounts in the home currency by the day's rate; an unknown rate gives NULL."""
-    daily = broadcast_checked(
-        rates.select("currency", F.col("rate_date").alias("transaction_date"), "rate")
+    # Stored, so the planner knows the size of the rates and they are computed once.
+    daily = stored(
+        rates.select("currency", F.col("rate_date").alias("transaction_date"), "rate"), "rates"
     )
     joined = transactions.join(daily, ["currency", "transaction_date"], "left")
     rate = F.when(F.col("currency") == home, F.lit(1.0)).otherwise(F.col("rate"))

@@ -89,7 +89,7 @@ ENTITIES: dict[str, T.StructType] = {
     "customers": _struct(
         "customer_id string, original_customer_id string, first_name string, last_name string,"
         "age int, gender string, city string, country string, account_balance double,"
-        "customer_segment string, credit_score int, annual_income int, customer_since string,"
+        "customer_segment string, credit_score int, annual_income bigint, customer_since string,"
         "data_source string"
     ),
     "transactions": _struct(

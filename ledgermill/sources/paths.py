@@ -11,11 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor sees, named by ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only when the setting is absent, as in tests
-    on one machine.
+    A machine-local folder is used only when the setting is absent and the
+    master is local, as in tests on one machine. On a cluster each executor would
+    write to its own disk, so there the setting must be given.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="ledgermill-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

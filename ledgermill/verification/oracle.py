@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from ledgermill.functions import bands
 from ledgermill.schemas import FOREIGN_KEYS, PRIMARY_KEYS, PRODUCT_OF_REVENUE, PRODUCT_SHARES
-from ledgermill.verification.queries import COSTLY, DRILL_BRANCH, MONTHS
+from ledgermill.verification.queries import COSTLY, DRILL_BRANCH
 
 AS_OF = "2024-06-30"
 RUN = "2024-06-30 12:00:00"
@@ -87,13 +87,13 @@ CTES: dict[str, str] = {
         SELECT s_suppkey AS branch_id, s_name AS branch_name, n_name AS city, r_name AS region,
                CAST(8 + s_suppkey % 42 AS INTEGER) AS staff_count
         FROM supplier JOIN nation ON s_nationkey = n_nationkey
-        JOIN region ON n_regionkey = r_regionkey WHERE s_suppkey < 62""",
+        JOIN region ON n_regionkey = r_regionkey""",
     "customers": f"""
         SELECT *, {SEGMENT} AS customer_segment
         FROM (SELECT c_custkey AS customer_id, n_name AS city,
                      CAST(18 + c_custkey % 63 AS INTEGER) AS age,
                      floor(c_acctbal * 6000 + 0.5) / 100 AS account_balance,
-                     CAST((c_custkey * 7919) % 1500000 AS INTEGER) AS annual_income,
+                     (c_custkey * 7919) % 1500000 AS annual_income,
                      DATE '2016-01-01' + CAST(c_custkey % 2900 AS INTEGER) AS customer_since
               FROM customer JOIN nation ON c_nationkey = n_nationkey)""",
     "transactions": """
@@ -102,11 +102,13 @@ CTES: dict[str, str] = {
                CASE event_type WHEN 'click' THEN 'PAYMENT' WHEN 'view' THEN 'TRANSFER'
                     WHEN 'signup' THEN 'DEPOSIT' WHEN 'purchase' THEN 'PURCHASE'
                     ELSE 'WITHDRAWAL' END AS transaction_type,
-               ts AS "timestamp", event_id % 70 AS branch_id
+               ts AS "timestamp",
+               CASE WHEN event_id % 50 = 0 THEN 1000000000 + event_id % 7
+                    ELSE event_id % (SELECT count(*) FROM supplier) END AS branch_id
         FROM events""",
     "revenue": """
         SELECT l_orderkey * 10 + l_linenumber AS revenue_id, o_custkey AS customer_id,
-               l_suppkey % 62 AS branch_id,
+               l_suppkey AS branch_id,
                CASE WHEN l_returnflag = 'A' THEN 'ACCOUNT_MAINTENANCE_FEE'
                     WHEN l_returnflag = 'N' THEN 'TRANSACTION_FEE'
                     WHEN l_linestatus = 'F' THEN 'INTEREST_INCOME' ELSE 'LATE_FEE' END
@@ -116,7 +118,7 @@ CTES: dict[str, str] = {
                CAST(l_shipdate AS DATE) AS event_date
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "costs": """
-        SELECT l_orderkey * 10 + l_linenumber AS cost_id, l_suppkey % 62 AS branch_id,
+        SELECT l_orderkey * 10 + l_linenumber AS cost_id, l_suppkey AS branch_id,
                CASE l_linenumber % 5 WHEN 0 THEN 'STAFF_SALARIES' WHEN 1 THEN 'TECHNOLOGY'
                     WHEN 2 THEN 'FACILITIES' WHEN 3 THEN 'MARKETING' ELSE 'COMPLIANCE' END
                AS cost_category,
@@ -135,7 +137,7 @@ CTES: dict[str, str] = {
                     ELSE 'EDUCATION_LOAN' END AS loan_type,
                CAST(o_orderdate AS DATE) AS start_date,
                CASE WHEN o_orderstatus = 'F' THEN 'CLOSED' ELSE 'ACTIVE' END AS status,
-               o_custkey % 62 AS branch_id
+               o_custkey % (SELECT count(*) FROM supplier) AS branch_id
         FROM orders""",
     "branch_sums": f"""
         SELECT branch_id, total_revenue, total_costs, transaction_count
@@ -637,9 +639,7 @@ add(
 add("cir_matrix_long", "SELECT * FROM ratio_months")
 add(
     "cir_matrix_pivot",
-    "SELECT branch_id, "
-    + ", ".join(f"max(cir) FILTER (month = '{m}') AS \"{m}\"" for m in MONTHS)
-    + " FROM ratio_months GROUP BY branch_id",
+    "PIVOT ratio_months ON month USING max(cir) GROUP BY branch_id",
 )
 
 # --- headlines and products -------------------------------------------------
@@ -734,7 +734,8 @@ add(
 add(
     "top_customers",
     """SELECT customer_id, customer_segment, account_balance, total_revenue, net_profit,
-              profit_margin, value_tier FROM people_details
+              profit_margin, value_tier, '₹' || format('{:,.2f}', net_profit) AS net_profit_text,
+              printf('%.1f%%', profit_margin * 100) AS profit_margin_text FROM people_details
        ORDER BY net_profit DESC NULLS LAST, customer_id LIMIT 100""",
 )
 add(
@@ -805,10 +806,12 @@ add(
     "rate_histogram",
     """WITH active AS (SELECT interest_rate FROM loans WHERE status = 'ACTIVE'),
             ends AS (SELECT min(interest_rate) AS lo, max(interest_rate) AS hi FROM active)
-       SELECT CAST(least(floor((interest_rate - lo) * 12 / (hi - lo)) + 1, 12) AS BIGINT) AS bin,
-              count(*) AS loan_count, min(interest_rate) AS lowest_rate,
+       SELECT b.bin, count(interest_rate) AS loan_count, min(interest_rate) AS lowest_rate,
               max(interest_rate) AS highest_rate
-       FROM active, ends GROUP BY 1""",
+       FROM range(1, 13) AS b(bin) LEFT JOIN
+            (SELECT interest_rate,
+                    CAST(least(floor((interest_rate - lo) * 12 / (hi - lo)) + 1, 12) AS BIGINT) AS bin
+             FROM active, ends) USING (bin) GROUP BY 1""",
 )
 add(
     "loan_risk_distribution",
@@ -850,7 +853,9 @@ add(
                account_balance, segment AS customer_segment,
                CAST(round_even(CASE segment WHEN 'PREMIUM' THEN greatest(account_balance * 1.5e0, 800000)
                     WHEN 'STANDARD' THEN greatest(account_balance * 2, 400000)
-                    ELSE greatest(account_balance * 3, 200000) END, 0) AS INTEGER) AS annual_income,
+                    ELSE greatest(account_balance * 3, 200000) END, 0) AS BIGINT) AS annual_income,
+               CAST(NULL AS VARCHAR) AS first_name, CAST(NULL AS VARCHAR) AS last_name,
+               CAST(NULL AS INTEGER) AS credit_score,
                {day(f"CAST(transaction_date - {between('user_id', 7, 1, 2920)} AS DATE)")}
                AS customer_since,
                'kaggle_enhanced' AS data_source
@@ -934,7 +939,8 @@ add(
     "card_events",
     f"""SELECT 'TXN-' || event_id AS transaction_id, 'CUST-' || user_id AS customer_id,
                'BR_' || (event_id % 70) AS branch_id, floor(value * 2000 + 0.5) / 100 AS amount,
-               CAST(NULL AS VARCHAR) AS transaction_type, {second('ts')} AS event_time
+               CAST(NULL AS VARCHAR) AS transaction_type, {second('ts')} AS event_time,
+               CAST(NULL AS DOUBLE) AS interchange_fee_earned
         FROM events WHERE {_ROUTE} = 'CARD_TRANSACTION'""",
 )
 
@@ -1053,11 +1059,13 @@ add(
           FROM loans),
        shares AS (SELECT status, bin, count(*) / sum(count(*)) OVER (PARTITION BY status) AS share
           FROM placed GROUP BY status, bin)
-       SELECT bin, greatest(coalesce(max(share) FILTER (status = 'CLOSED'), 0), 0.0001e0)
+       SELECT *, round_even((actual_share - expected_share) * ln(actual_share / expected_share)
+                            * 1e12, 0) / 1e12 AS stability_index
+       FROM (SELECT bin, greatest(coalesce(max(share) FILTER (status = 'CLOSED'), 0), 0.0001e0)
               AS expected_share,
               greatest(coalesce(max(share) FILTER (status = 'ACTIVE'), 0), 0.0001e0)
               AS actual_share
-       FROM shares GROUP BY bin""",
+       FROM shares GROUP BY bin)""",
 )
 add(
     "percentile_bands",

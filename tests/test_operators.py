@@ -149,11 +149,3 @@ def test_allocation_adds_up(spark):
     }
     assert sum(r.revenue for r in rows) == 200.0
     assert set(allocation.allocate(df.drop("c"), "r").columns) == {"region", "product", "revenue"}
-
-
-def test_broadcast_only_below_the_limit(spark):
-    def hinted(df):
-        return "broadcast" in df._jdf.queryExecution().logical().toString()
-
-    assert hinted(joins.broadcast_checked(spark.range(5), 5))
-    assert not hinted(joins.broadcast_checked(spark.range(6), 5))

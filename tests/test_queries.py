@@ -7,10 +7,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from ledgermill.verification.oracle import oracle_texts
+from ledgermill.verification.queries import REGISTRY
 
 NO_SQL = {"loan_default_scores", "hash_positions", "interventions"}
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+QUERIES = dict(REGISTRY)
+ORACLE = oracle_texts()
 
 
 @pytest.fixture(scope="module")
@@ -30,6 +32,7 @@ def rows(columns, records):
 def test_every_query_has_sql_or_a_reason():
     assert set(QUERIES) - set(ORACLE) == NO_SQL
     assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
