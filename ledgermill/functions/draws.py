@@ -38,8 +38,9 @@ def unit(draw: Column) -> Column:
 
 
 def hash_range(key: Column | str, size: int, seed: int = 0) -> Column:
-    """Stable position of a key in ``[0, size)``."""
-    return F.pmod(F.xxhash64(as_column(key), F.lit(seed)), F.lit(size))
+    """Stable position of a key in ``[0, size)``, by a hash that other engines have too."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), as_column(key).cast("string")).cast("binary"))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % F.lit(size)
 
 
 def draw_between(draw: Column, low: int, high: int) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgermill.operators.joins import key_set
-from ledgermill.sources.sinks import append_parquet, overwrite_parquet
+from ledgermill.sources.sinks import overwrite_parquet
 
 
 @dataclass(frozen=True)
@@ -115,7 +115,10 @@ def write_gated(
     partition_by: Sequence[str] = (),
     rejected_only: Sequence[str] = (),
 ) -> GateOutcome:
-    """Write the valid rows and append the rejected ones.
+    """Write the valid rows, and the rejected ones under the run that found them.
+
+    The quarantine is partitioned by the run's time, and a run repeated replaces
+    its own rejects, so none are counted twice.
 
     Columns in ``rejected_only`` are kept with the rejected rows alone. The
     counts are for the log: a stage run again after a lost executor may count
@@ -134,8 +137,9 @@ def write_gated(
     )
     overwrite_parquet(counted.filter(holds).drop(*rejected_only), valid_path, partition_by)
     valid, rejected = seen.get["valid_rows"], seen.get["rejected_rows"]
+    run_path = f"{quarantine_path}/run={run_ts:%Y%m%dT%H%M%S%f}"
     if rejected:
-        append_parquet(rejected_rows(df, gate, run_ts), quarantine_path)
+        overwrite_parquet(rejected_rows(df, gate, run_ts), run_path)
     return GateOutcome(gate.entity, valid, rejected)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgermill.functions import bands
@@ -570,27 +570,39 @@ def midnight_transfers(transactions: DataFrame, limit: float = MIDNIGHT_LIMIT) -
 def rapid_city_use(
     transactions: DataFrame, branches: DataFrame, minutes: int = 60
 ) -> DataFrame:
-    """Customers seen in more than one city within one clock window.
+    """Uses that follow the customer's use before in another city within ``minutes``.
 
-    Windows overlap by half, so two uses at most ``minutes / 2`` apart always
-    share one. Uses are first reduced to one row per customer, half window and
-    branch, before the city is looked up, which keeps a hot customer or branch
-    small; only those rows are copied into their two windows.
+    Two uses in different cities within the limit always have such a change of
+    city between them, whatever the clock says. A branch that is not known is a
+    place of its own. Uses of one time are ordered by their id.
+
+    A customer's uses are ordered within panes as long as the limit; each pane
+    also holds those of the pane before, so a customer with many uses is spread
+    over as many tasks as panes.
     """
-    half = minutes // 2
-    used = transactions.groupBy(
-        "customer_id", "branch_id", F.window("timestamp", f"{half} minutes").alias("pane")
-    ).agg(F.count(F.lit(1)).alias("uses"))
-    placed = used.select("customer_id", "branch_id", "pane.start", "uses").join(
-        branches.select("branch_id", "city"), "branch_id"
-    )
-    return (
-        placed.groupBy(
-            "customer_id", F.window("start", f"{2 * half} minutes", f"{half} minutes").alias("w")
-        )
-        .agg(F.countDistinct("city").alias("cities"), F.sum("uses").alias("uses"))
-        .filter(F.col("cities") > 1)
-        .select("customer_id", F.col("w.start").alias("window_start"), "cities", "uses")
+    length = minutes * 60
+    place = F.coalesce("city", F.concat(F.lit("branch "), F.col("branch_id").cast("string")))
+    pane = F.floor(F.unix_timestamp("timestamp") / length)
+    placed = (
+        transactions.select("transaction_id", "customer_id", "branch_id", "timestamp")
+        .join(branches.select("branch_id", "city"), "branch_id", "left")
+        .select("transaction_id", "customer_id", place.alias("city"), "timestamp", pane.alias("own"))
+    )
+    order = Window.partitionBy("customer_id", "pane").orderBy("timestamp", "transaction_id")
+    before = F.lag(F.struct("city", "timestamp")).over(order)
+    followed = (
+        placed.withColumn("pane", F.explode(F.array(F.col("own"), F.col("own") + 1)))
+        .withColumn("before", before)
+        .filter((F.col("pane") == F.col("own")) & (F.col("before.city") != F.col("city")))
+    )
+    apart = F.unix_micros("timestamp") - F.unix_micros("before.timestamp")
+    return followed.filter(apart <= length * 1_000_000).select(
+        "transaction_id",
+        "customer_id",
+        "city",
+        "timestamp",
+        F.col("before.city").alias("previous_city"),
+        F.col("before.timestamp").alias("previous_timestamp"),
     )
 
 
@@ -608,9 +620,11 @@ def provisions(scores: DataFrame, rate: float = PROVISION_RATE) -> DataFrame:
 
 
 def interventions(scores: DataFrame) -> DataFrame:
-    """High-risk loans ordered for each branch; rows, never a list in one cell."""
-    return scores.filter(F.col("risk_rating").isin("High", "Critical")).select(
-        "branch_id", "loan_id", "customer_id", "outstanding_balance", "default_probability"
+    """High-risk loans, the likeliest default of each branch first; rows, never a list in one cell."""
+    return (
+        scores.filter(F.col("risk_rating").isin("High", "Critical"))
+        .select("branch_id", "loan_id", "customer_id", "outstanding_balance", "default_probability")
+        .orderBy("branch_id", F.desc("default_probability"), "loan_id")
     )
 
 

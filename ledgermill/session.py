@@ -43,8 +43,6 @@ def build_session(
         "spark.sql.session.timeZone": "UTC",
         # Integer money sums must raise on overflow, never wrap.
         "spark.sql.ansi.enabled": "true",
-        # Re-running one month replaces that month only.
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
     }
     if input_bytes is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(input_bytes))

@@ -9,23 +9,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def overwrite_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Overwrite; with dynamic partition overwrite only the partitions in ``df``.
+def overwrite_parquet(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), only_given_partitions: bool = False
+) -> None:
+    """Replace the table, or with ``only_given_partitions`` just the partitions in ``df``.
+
+    A full rebuild leaves nothing of the table before, whatever the session's
+    overwrite mode is.
 
     Partitioned output is rebalanced on the partition columns first: adaptive
     execution gives a hot partition several tasks and merges small ones.
     """
     writer = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
-    writer = writer.write.mode("overwrite")
+    mode = "dynamic" if only_given_partitions else "static"
+    writer = writer.write.mode("overwrite").option("partitionOverwriteMode", mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
 
 
-def append_parquet(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
-
-
 def overwrite_csv(df: DataFrame, path: str) -> None:
     """A folder of header CSV parts, one per task."""
     df.write.mode("overwrite").option("header", True).csv(path)

@@ -71,18 +71,37 @@ def batch_volume(
     )
 
 
-def surges(volume: DataFrame, lookback: int = 5, factor: float = 3.0) -> DataFrame:
+def surges(
+    volume: DataFrame, lookback: int = 5, factor: float = 3.0, size_minutes: int = WINDOW_MINUTES
+) -> DataFrame:
     """Windows whose count exceeds ``factor`` times the mean of the branch's windows before.
 
-    ``volume`` is already one row per window and branch, a size set by the
-    calendar and not by the traffic.
-    """
-    from pyspark.sql import Window
+    The windows before are the ``lookback`` ones that end where the next begins,
+    the last of them at the start of the tested one, so none shares an event with
+    it; one without events counts as zero. A window is tested once the branch has
+    been seen for as long as the lookback.
 
-    before = Window.partitionBy("branch_id").orderBy("window_start").rowsBetween(-lookback, -1)
-    trailing = volume.withColumn(
-        "trailing_total", F.sum("window_txn_count").over(before)
-    ).withColumn("trailing_windows", F.count("window_txn_count").over(before))
+    Each window is handed to the later ones that look back on it, so windows meet
+    by branch and time and a busy branch is spread over many tasks.
+    """
+    size = size_minutes * 60
+    start = F.unix_timestamp("window_start")
+    rows = volume.withColumn("_start", start)
+    later = F.array(*[F.col("_start") + F.lit(size * k) for k in range(1, lookback + 1)])
+    behind = (
+        rows.select("branch_id", F.explode(later).alias("_start"), "window_txn_count")
+        .groupBy("branch_id", "_start")
+        .agg(F.sum("window_txn_count").alias("_total"))
+    )
+    seen = rows.groupBy("branch_id").agg(F.min("_start").alias("_first"))
+    trailing = (
+        rows.join(behind, ["branch_id", "_start"], "left")
+        .join(seen, "branch_id")
+        .filter(F.col("_start") >= F.col("_first") + size * lookback)
+        .withColumn("trailing_total", F.coalesce("_total", F.lit(0).cast("bigint")))
+        .withColumn("trailing_windows", F.lit(lookback).cast("bigint"))
+        .drop("_start", "_total", "_first")
+    )
     return trailing.filter(
         F.col("window_txn_count") * F.col("trailing_windows")
         > F.col("trailing_total") * F.lit(factor)

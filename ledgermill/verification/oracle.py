@@ -910,6 +910,12 @@ add(
         FROM loans""",
 )
 
+add(
+    "hash_positions",
+    """SELECT CAST('0x' || substr(md5('3:' || customer_id), 1, 8) AS BIGINT) % 16 AS position,
+              count(*) AS customers FROM customers GROUP BY 1""",
+)
+
 # --- events -----------------------------------------------------------------
 
 _VOLUME = f"""SELECT {second('started')} AS window_start,
@@ -919,15 +925,19 @@ add("branch_volume_batch", _VOLUME)
 add("branch_volume_stream", _VOLUME)
 add(
     "branch_surges",
-    f"""SELECT {second('started')} AS window_start, branch_id, window_txn_count,
-               CAST(total AS BIGINT) AS trailing_total, n AS trailing_windows
-        FROM (SELECT *, sum(window_txn_count) OVER w AS total, count(*) OVER w AS n
-              FROM (SELECT date_trunc('minute', "timestamp") - to_minutes(k) AS started,
-                           customer_id % 10 AS branch_id, count(*) AS window_txn_count
-                    FROM transactions, unnest([0, 1, 2, 3, 4]) AS o(k) GROUP BY ALL)
-              WINDOW w AS (PARTITION BY branch_id ORDER BY started
-                           ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING))
-        WHERE window_txn_count * n > total * 1.5e0""",
+    f"""WITH counted AS (SELECT date_trunc('minute', "timestamp") - to_minutes(k) AS started,
+                                customer_id % 10 AS branch_id, count(*) AS window_txn_count
+                         FROM transactions, unnest([0, 1, 2, 3, 4]) AS o(k) GROUP BY ALL),
+             tested AS (SELECT c.*, min(started) OVER (PARTITION BY branch_id) AS first_seen,
+                               (SELECT coalesce(sum(e.window_txn_count), 0) FROM counted e
+                                WHERE e.branch_id = c.branch_id AND c.started - e.started IN
+                                      (INTERVAL 5 MINUTE, INTERVAL 10 MINUTE, INTERVAL 15 MINUTE,
+                                       INTERVAL 20 MINUTE, INTERVAL 25 MINUTE)) AS total
+                        FROM counted c)
+        SELECT {second('started')} AS window_start, branch_id, window_txn_count,
+               CAST(total AS BIGINT) AS trailing_total, CAST(5 AS BIGINT) AS trailing_windows
+        FROM tested WHERE started >= first_seen + INTERVAL 25 MINUTE
+          AND window_txn_count * 5 > total * 1.5e0""",
 )
 _ROUTE = """CASE WHEN event_id % 37 = 0 OR event_id % 31 = 0 THEN 'QUARANTINE'
                  WHEN event_id % 10 < 6 THEN 'CARD_TRANSACTION'
@@ -1013,14 +1023,18 @@ add(
 )
 add(
     "rapid_city_use",
-    f"""SELECT customer_id, {second('started')} AS window_start,
-               count(DISTINCT city) AS cities, count(*) AS uses
-        FROM (SELECT customer_id, city,
-                     date_trunc('hour', "timestamp")
-                     + to_minutes(CASE WHEN minute("timestamp") >= 30 THEN 30 ELSE 0 END - 30 * k)
-                     AS started
-              FROM transactions JOIN branches USING (branch_id), unnest([0, 1]) AS o(k))
-        GROUP BY ALL HAVING count(DISTINCT city) > 1""",
+    f"""WITH uses AS (SELECT transaction_id, customer_id, "timestamp" AS t,
+                             coalesce(city, 'branch ' || branch_id) AS city
+                      FROM transactions LEFT JOIN branches USING (branch_id)),
+             pairs AS (SELECT b.*, a.city AS previous_city, a.t AS previous,
+                              row_number() OVER (PARTITION BY b.transaction_id
+                                                 ORDER BY a.t DESC, a.transaction_id DESC) AS n
+                       FROM uses a JOIN uses b ON a.customer_id = b.customer_id
+                        AND (a.t < b.t OR (a.t = b.t AND a.transaction_id < b.transaction_id))
+                        AND b.t - a.t <= INTERVAL 60 MINUTE)
+        SELECT transaction_id, customer_id, city, {second('t')} AS "timestamp", previous_city,
+               {second('previous')} AS previous_timestamp
+        FROM pairs WHERE n = 1 AND city <> previous_city""",
 )
 add(
     "provisions",

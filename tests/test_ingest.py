@@ -218,8 +218,12 @@ def test_month_overwrite_replaces_one_month(spark, tmp_path):
     path = str(tmp_path / "facts")
     df = spark.createDataFrame([("2024-01", 1), ("2024-02", 2)], "month string, v int")
     sinks.overwrite_parquet(df, path, ["month"])
-    sinks.overwrite_parquet(df.filter("month = '2024-02'").withColumn("v", F.lit(9)), path, ["month"])
+    newer = df.filter("month = '2024-02'").withColumn("v", F.lit(9))
+    sinks.overwrite_parquet(newer, path, ["month"], only_given_partitions=True)
     assert {(r.month, r.v) for r in spark.read.parquet(path).collect()} == {("2024-01", 1), ("2024-02", 9)}
+    # A full rebuild leaves no month that is gone from its input.
+    sinks.overwrite_parquet(newer, path, ["month"])
+    assert {(r.month, r.v) for r in spark.read.parquet(path).collect()} == {("2024-02", 9)}
 
 
 def test_command_line(spark, lake, raw_file, tmp_path, capsys):

@@ -30,13 +30,14 @@ def test_gate_loses_no_row(people):
     assert (counts.valid_rows, counts.rejected_rows) == (1, 4)
 
 
-def test_gate_write_counts_and_appends(spark, people, tmp_path):
+def test_gate_write_counts_and_keeps_each_run(spark, people, tmp_path):
+    """A run repeated replaces its own rejects; another run adds its own."""
     paths = str(tmp_path / "valid"), str(tmp_path / "bad")
-    for run in (1, 2):
-        outcome = quality.write_gated(people, quality.GATES["customers"], *paths, NOW)
+    for run, kept in ((NOW, 4), (NOW, 4), (NOW.replace(day=2), 8)):
+        outcome = quality.write_gated(people, quality.GATES["customers"], *paths, run)
         assert (outcome.valid_rows, outcome.rejected_rows) == (1, 4)
         assert spark.read.parquet(paths[0]).count() == 1
-        assert spark.read.parquet(paths[1]).count() == 4 * run
+        assert spark.read.parquet(paths[1]).count() == kept
 
 
 def test_clean_input_writes_no_quarantine(spark, people, tmp_path):

@@ -10,7 +10,7 @@ import __spark_entry__ as entry_points
 from ledgermill.verification.oracle import oracle_texts
 from ledgermill.verification.queries import REGISTRY
 
-NO_SQL = {"loan_default_scores", "hash_positions", "interventions"}
+NO_SQL = {"loan_default_scores", "interventions"}
 QUERIES = dict(REGISTRY)
 ORACLE = oracle_texts()
 
