@@ -35,7 +35,7 @@ STATES = 8
 #: Rounds over one eighth of the training texts each, then rounds over all of them.
 WARM_ROUNDS, FULL_ROUNDS = 8, 2
 #: Weight of the base distribution in the counts of each state.
-PRIOR = 100.0
+PRIOR = 2500.0
 #: Seed of the hash that Spark's ``xxhash64`` uses; both sides must agree on buckets.
 HASH_SEED = 42
 TOKENS_AT_ONCE = 1 << 20
