@@ -109,7 +109,7 @@ class LinearModel:
         return softmax(features.dot(self.weights) + self.bias)
 
 
-def train_linear(rows: DataFrame, classes: int, rounds: int = ROUNDS, rate: float = 0.3, decay: float = 1e-5) -> LinearModel:
+def train_linear(rows: DataFrame, classes: int, rounds: int = ROUNDS, rate: float = 0.05, decay: float = 1e-5) -> LinearModel:
     """Fit class probabilities to soft targets; rows have slots, values and target (array of shares).
 
     Each round adds up the gradient over all partitions and takes a step whose

@@ -61,7 +61,7 @@ def memberships(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", t
             yield pa.RecordBatch.from_arrays([*found, part.column("target")], names=["slots", "values", "target"])
 
     rows = source.join(chosen, source["id"] == F.col("label_id")).select("text", "target")
-    scorer = train_linear(stored(rows.mapInArrow(features, "slots array<int>, values array<float>, target array<double>"), "labelled"), len(DOMAINS))
+    scorer = train_linear(stored(rows.mapInArrow(features, "slots array<int>, values array<float>, target array<double>"), "labelled"), len(DOMAINS), rate=0.2)
     shared = docs.sparkSession.sparkContext.broadcast((scorer.weights, scorer.bias))
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
