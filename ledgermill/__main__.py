@@ -86,6 +86,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         )
         for frame in (result.gaps, result.statistics, result.counts):
             frame.show(truncate=False)
+        print("malformed lines:", result.malformed.count())
     elif args.command == "silver":
         for outcome in jobs.bronze_to_silver(spark, args.entity_path, args.base_path, now).values():
             print(outcome)
@@ -99,7 +100,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         report_rows = integrity_report({name: df.drop(CORRUPT) for name, df in tables})
         report_rows.show(50, truncate=False)
     elif args.command == "profile":
-        raw = files.read_raw(spark, args.raw_path).drop(*files.FILE_ORDER)
+        raw = files.raw_lines(files.read_raw(spark, args.raw_path)).drop(*files.FILE_ORDER)
         column_nulls(raw).show(truncate=False)
         amounts = raw.withColumnRenamed(integrate.AMOUNT, "amount")
         amount_statistics(amounts, "amount", "CustomerID").show(truncate=False)

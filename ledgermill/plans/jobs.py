@@ -38,6 +38,7 @@ class IntegrateResult:
     gaps: DataFrame
     statistics: DataFrame
     counts: DataFrame
+    malformed: DataFrame
 
 
 def integrate_raw(
@@ -50,14 +51,20 @@ def integrate_raw(
 ) -> IntegrateResult:
     """Clean the raw file and write the ledger and the customer dimension.
 
+    Lines that do not fit the file's columns go to ``out_path/quarantine/raw``
+    with their text; with a limit, those among the sampled lines.
+
     The cleaned rows feed both tables and the report, so they are written once
     to ``out_path/cleaned`` and read back.
     """
     raw = files.read_raw(spark, raw_path)
     if limit is not None:
         raw = contiguous_sample(files.with_ordinal(raw), "ordinal", limit, seed, raw.count())
+    malformed_path = f"{out_path}/quarantine/raw"
+    overwrite_parquet(files.malformed_lines(raw), malformed_path)
     cleaned_path = f"{out_path}/cleaned"
-    overwrite_parquet(integrate.clean_raw(raw, as_of, keep=files.FILE_ORDER), cleaned_path)
+    lines = files.raw_lines(raw)
+    overwrite_parquet(integrate.clean_raw(lines, as_of, keep=files.FILE_ORDER), cleaned_path)
     cleaned = spark.read.parquet(cleaned_path)
     overwrite_csv(integrate.transaction_ledger(cleaned), f"{out_path}/transactions.csv")
     overwrite_csv(
@@ -70,6 +77,7 @@ def integrate_raw(
         gaps=columns_with_gaps(cleaned.drop(*files.FILE_ORDER)),
         statistics=amount_statistics(cleaned, "account_balance", "customer_id"),
         counts=layer_counts(written),
+        malformed=spark.read.parquet(malformed_path),
     )
 
 
@@ -260,7 +268,11 @@ def register_views(spark: SparkSession, base_path: str) -> list[str]:
 def branch_volume_stream(
     spark: SparkSession, servers: str, topic: str, out_path: str, checkpoint: str
 ) -> StreamingQuery:
-    """Start the windowed volume from the event topic into the lake."""
+    """Start the windowed volume from the event topic into the lake.
+
+    Events that cannot be routed are kept beside it, by a query of their own.
+    """
     events = decode.decode(kafka.read_topic(spark, servers, topic))
+    sinks.keep_events(decode.quarantined_events(events), f"{out_path}-quarantine", f"{checkpoint}-quarantine")
     cards = decode.typed_events(events, decode.CARD)
     return sinks.to_lake(volume.stream_volume(cards), out_path, checkpoint)

@@ -36,16 +36,32 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     """Raw transaction file as text columns, with the position of every row.
 
     ``source_file``, ``source_block`` and ``source_row`` sort the rows in file
-    order however the file was split.
+    order however the file was split. A line with more or fewer fields than the
+    file has columns keeps its text in the column ``CORRUPT`` and is to be routed
+    by ``raw_lines`` or ``malformed_lines``.
     """
-    return spark.read.schema(RAW_TRANSACTIONS).option("header", True).csv(path).select(
-        *[F.col(f"`{name}`") for name in RAW_TRANSACTIONS.names],
+    columns = [F.col(f"`{name}`") for name in RAW_TRANSACTIONS.names]
+    # Spark reads a line's text only together with all its columns.
+    whole_line = F.length(F.concat_ws("", *columns)) >= 0
+    return read_csv(spark, path, RAW_TRANSACTIONS).select(
+        *columns,
+        F.when(whole_line, F.col(CORRUPT)).alias(CORRUPT),
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias("source_block"),
         F.monotonically_increasing_id().alias("source_row"),
     )
 
 
+def raw_lines(raw: DataFrame) -> DataFrame:
+    """The lines that fit the file's columns."""
+    return raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def malformed_lines(raw: DataFrame) -> DataFrame:
+    """Text and place of the lines that do not."""
+    return raw.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT, *FILE_ORDER)
+
+
 FILE_ORDER = ["source_file", "source_block", "source_row"]
 
 

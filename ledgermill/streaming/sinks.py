@@ -16,6 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgermill.sources.warehouse import Warehouse
 
 KEYS = ["window_start", "window_end", "branch_id"]
+
+#: For state larger than memory.
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -33,6 +35,17 @@ def to_console(volume: DataFrame, checkpoint: str) -> StreamingQuery:
     )
 
 
+def keep_events(events: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Append events as they are; the file sink's log makes each appear once."""
+    writer = (
+        events.writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+    )
+    return writer.trigger(availableNow=True).start() if available_now else writer.start()
+
+
 def to_lake(
     volume: DataFrame,
     path: str,

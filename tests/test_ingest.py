@@ -28,7 +28,7 @@ def raw_file(tmp_path_factory):
 
 
 def test_clean_raw(spark, raw_file):
-    got = {r.transaction_id: r for r in integrate.clean_raw(files.read_raw(spark, raw_file), AS_OF).collect()}
+    got = {r.transaction_id: r for r in integrate.clean_raw(files.raw_lines(files.read_raw(spark, raw_file)), AS_OF).collect()}
     assert got["T1"].customer_id == "KAGGLE_C1" and got["T5"].customer_id == "KAGGLE_UNKNOWN"
     assert (got["T1"].age, got["T1"].age_imputed, got["T1"].city) == (29, False, "Navi Mumbai")
     assert got["T2"].date_of_birth is None and got["T2"].age_imputed and 25 <= got["T2"].age < 65
@@ -39,7 +39,7 @@ def test_clean_raw(spark, raw_file):
 
 
 def test_ledger_and_dimension(spark, raw_file):
-    cleaned = integrate.clean_raw(files.read_raw(spark, raw_file), AS_OF, keep=files.FILE_ORDER)
+    cleaned = integrate.clean_raw(files.raw_lines(files.read_raw(spark, raw_file)), AS_OF, keep=files.FILE_ORDER)
     ledger = {r.transaction_id: r for r in integrate.transaction_ledger(cleaned).collect()}
     assert (ledger["T1"].transaction_type, ledger["T1"].amount, ledger["T1"].merchant) == ("DEPOSIT", 25.0, "BANK_CREDIT")
     assert (ledger["T2"].transaction_type, ledger["T2"].amount, ledger["T2"].branch_id) == ("PURCHASE", 600.0, "BR_001")
@@ -71,6 +71,17 @@ def test_ordinals_follow_the_file_across_splits(spark, tmp_path):
     assert [r.TransactionID for r in got] == [f"{p}{i:05d}" for p in "ab" for i in range(3000)]
 
 
+def test_raw_lines_of_another_width_are_kept_apart(spark, tmp_path):
+    good, long, short = "a,C,,,,,,,5", "b,C,,,,,,,5,extra", "c,C"
+    (tmp_path / "raw.csv").write_text("\n".join(["h" + ",h" * 8, good, long, short]) + "\n")
+    raw = files.read_raw(spark, str(tmp_path / "raw.csv"))
+    assert [r.TransactionID for r in files.raw_lines(raw).collect()] == ["a"]
+    assert {r[CORRUPT] for r in files.malformed_lines(raw).collect()} == {long, short}
+    result = jobs.integrate_raw(spark, str(tmp_path / "raw.csv"), str(tmp_path / "out"), AS_OF)
+    assert result.malformed.count() == 2
+    assert {r.row_count for r in result.counts.collect()} == {1}
+
+
 def test_bad_csv_values_keep_their_text(spark, tmp_path):
     (tmp_path / "loans.csv").write_text(
         "loan_id,customer_id,loan_amount,outstanding_balance,interest_rate,loan_type,start_date,term_months,status,branch_id\n"

@@ -92,6 +92,19 @@ def test_stream_updates_and_restart(spark, tmp_path):
     assert rows["10:01"].window_txn_count == 1
 
 
+def test_broken_events_are_kept_once(spark, tmp_path):
+    """Also when a query is started again over what it has already seen."""
+    (tmp_path / "in").mkdir()
+    untimed = card(2, "no time")
+    for number, lines in enumerate([[json.dumps(card(1, "2024-01-01 10:00:30")), "{broken"], [json.dumps(untimed)]]):
+        (tmp_path / "in" / f"{number}.json").write_text("\n".join(lines) + "\n")
+        for _ in range(2):
+            events = decode.decode(kafka.read_json_files(spark, str(tmp_path / "in")))
+            bad = decode.quarantined_events(events)
+            sinks.keep_events(bad, str(tmp_path / "bad"), str(tmp_path / "state"), available_now=True).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "bad")).count() == 2
+
+
 def test_late_event_is_dropped_after_a_filler_batch(spark, tmp_path):
     early, late = card(1, "2024-01-01 10:00:30"), card(2, "2024-01-01 10:00:45")
     ahead, filler = card(3, "2024-01-01 11:00:00"), card(4, "2024-01-01 11:00:05")
