@@ -119,6 +119,3 @@ REGISTRY: dict[str, Query] = {
     "op9_chosen_path": op9_chosen_path,
     "op10_token_files": op10_token_files,
 }
-
-#: DuckDB SQL of the queries that SQL can express.
-ORACLE: dict[str, str] = {}

@@ -1,7 +1,10 @@
 """Hosts, paths and rules against a plain reading, aliases by hand, and the SQL."""
 
 import re
+from collections import Counter
 
+import duckdb
+import pandas as pd
 import pytest
 
 from ledgermill.llm.components import components
@@ -82,6 +85,25 @@ def test_components_of_chains_stars_and_loops(spark):
     assert components(spark.createDataFrame([], "a string, b string")).count() == 0
 
 
+def test_sql_agrees(spark, small_dir):
+    """On the table, and on it with links, redirects and odd rows added."""
+    from ledgermill.llm.oracle import ORACLE
+
+    pages = spark.read.parquet(f"{small_dir}/pages.parquet").toPandas()
+    odd = [(None, u, None) for u in URLS] + [(900 + i, f"http://h{i}.net/p", f'<link rel="canonical" href="http://h{i + 1}.net/p">') for i in range(5)]
+    odd += [(950, "http://h5.net/p", '<meta http-equiv=refresh content="0; url=//k.com/de/1">'), (951, "http://m.org/x/y", "<link rel=canonical href=z>")]
+    more = pd.concat([pages, pd.DataFrame(odd, columns=pages.columns)], ignore_index=True).astype({"page_id": "Int64"})
+    for frame in (pages, more):
+        with duckdb.connect() as duck:
+            duck.register("pages", frame)
+            expected = Counter(duck.execute(ORACLE["op5_url_rules"]).fetchall())
+        rows = [(None if pd.isna(k) else int(k), *(None if pd.isna(v) else v for v in r)) for k, *r in frame.itertuples(index=False)]
+        source = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+        got = Counter(tuple(r) for r in judge_pages(source, URL_RULES).select("page_id", "host", "path", "rule", "verdict").collect())
+        assert got == expected
+    assert sum(n for row, n in got.items() if row[0] is not None and row[0] >= 900 and row[4] == "block") == 6
+
+
 @pytest.mark.parametrize("name", ["op5_url_rules"])
 def test_plan_has_no_python(spark, small_dir, name):
     from ledgermill.llm.queries import REGISTRY
