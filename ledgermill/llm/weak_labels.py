@@ -22,7 +22,7 @@ from ledgermill.llm.ragged import split_words, text_bytes, text_slices
 from ledgermill.sources.paths import stored
 
 NO_VOTE, POOR, GOOD = 0, 1, 2
-#: Rows with a posterior that the scorer is trained on: about so many, chosen by a hash of the text.
+#: Rows with a posterior that the scorer is trained on: about so many, chosen by a hash of id and text.
 TRAINING_ROWS = 20_000
 ITERATIONS = 200
 #: Share of good texts taken for granted before any vote.
@@ -186,7 +186,7 @@ def score_quality(docs: DataFrame, id_column: str = "doc_id", text_column: str =
             )
 
     share = min(1.0, TRAINING_ROWS / max(1.0, total))
-    chosen = source.where((F.length("text") > 0) & (F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000)))
+    chosen = source.where((F.length("text") > 0) & (F.pmod(F.xxhash64("id", "text"), F.lit(1_000_000)) < int(share * 1_000_000)))
     rows = stored(chosen.mapInArrow(labelled, "slots array<int>, values array<float>, target array<double>"), "labelled")
     scorer = train_linear(rows, 2)
     shared = docs.sparkSession.sparkContext.broadcast((scorer.weights, scorer.bias))
