@@ -21,6 +21,7 @@ from ledgermill.operators.sampling import contiguous_sample
 from ledgermill.plans import gold, integrate, risk, silver
 from ledgermill.schemas import CORRUPT, ENTITIES
 from ledgermill.sources import files, kafka
+from ledgermill.sources.paths import stored
 from ledgermill.sources.resolve import Resolved, resolve_table
 from ledgermill.sources.sinks import (
     SinkOutcome,
@@ -171,7 +172,9 @@ def silver_to_gold(
                 result,
             )
         except Exception as error:
-            result.scoring_error = str(error).splitlines()[0]
+            # The kind of error and what caused it, not the trace behind it.
+            cause = f" (cause: {error.__cause__!r})" if error.__cause__ else ""
+            result.scoring_error = f"{type(error).__name__}: {str(error).splitlines()[0]}{cause}"
     return result
 
 
@@ -179,7 +182,7 @@ def score_loans(spark: SparkSession, base_path: str, run_ts: datetime) -> DataFr
     """Scores of the Silver loans; missing Silver tables are an error."""
     loans = spark.read.parquet(f"{base_path}/silver/loans")
     customers = spark.read.parquet(f"{base_path}/silver/customers")
-    features = risk.loan_features(loans, customers)
+    features = stored(risk.loan_features(loans, customers), "loan-features")
     return risk.score(risk.fit(features), features, run_ts)
 
 
@@ -195,9 +198,9 @@ def _publish(
     overwrite_parquet(mart, path)
     result.tables[name] = path
     if warehouse is not None:
-        stored = spark.read.parquet(path)
+        written = spark.read.parquet(path)
         result.warehouse[name] = write_first(
-            stored,
+            written,
             name,
             [
                 ("warehouse", lambda df: write_table(df, warehouse, name)),

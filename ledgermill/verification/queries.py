@@ -22,7 +22,7 @@ from ledgermill.operators import (
 )
 from ledgermill.plans import gold, integrate, marts, risk, silver
 from ledgermill.schemas import FOREIGN_KEYS, PRIMARY_KEYS, RAW_ID_PREFIX
-from ledgermill.sources.paths import fresh_folder
+from ledgermill.sources.paths import fresh_folder, stored
 from ledgermill.streaming import decode, sinks, volume
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,7 +141,7 @@ def _alerts(bank: BankTables) -> DataFrame:
 
 
 def _scores(bank: BankTables) -> DataFrame:
-    features = _features(bank)
+    features = stored(_features(bank), "loan-features")
     return risk.score(risk.fit(features), features, RUN_TS)
 
 
