@@ -13,7 +13,7 @@ from ledgermill.llm.language import held_out, label_languages, train_language_mo
 from ledgermill.llm.latent import contaminated
 from ledgermill.llm.markov import score_texts
 from ledgermill.llm.mixing import mix_documents
-from ledgermill.llm.simhash import edit_fingerprints, within_radius
+from ledgermill.llm.simhash import edit_fingerprints, radius_for, with_near
 from ledgermill.llm.token_counts import count_tokens
 from ledgermill.llm.token_files import read_token_files, write_token_files
 from ledgermill.llm.url_rules import Rule, judge_pages
@@ -35,14 +35,13 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of every document and its edited form.
 
-    ``near_count`` is, for ids divisible by 50, the number of other fingerprints
-    within 7 of 256 bits among those of all documents; NULL for the other ids.
+    For ids divisible by 50, ``near_count`` and ``near_ids`` give the other
+    fingerprints of all documents within the radius that holds 99 % of the pairs of
+    similarity 0.8. Documents of equal fingerprints share a ``class_id``, and
+    ``near_ids`` holds class ids.
     """
     prints = stored(edit_fingerprints(table(spark, folder, "documents")), "fingerprints")
-    asked = prints.where(F.col("doc_id") % 50 == 0).select("fingerprint")
-    near = within_radius(asked, prints, 7).groupBy(F.col("query").alias("fingerprint")).agg(F.count("*").alias("n"))
-    count = F.when(F.col("doc_id") % 50 == 0, F.coalesce("n", F.lit(0)))
-    return prints.join(near, "fingerprint", "left").select(*prints.columns, count.alias("near_count"))
+    return with_near(prints, F.col("doc_id") % 50 == 0, radius_for(0.8, 0.99))
 
 
 def op3_latent_retrieval(spark: SparkSession, folder: str) -> DataFrame:

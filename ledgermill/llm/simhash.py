@@ -9,7 +9,9 @@ term's hash has there; a term's weight is therefore its count.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -18,11 +20,14 @@ from pyspark.sql import functions as F
 
 from ledgermill.llm.ordered import AT, range_bounds, ranges_of, shuffle_tasks, with_range
 from ledgermill.llm.ragged import mixed, split_words, text_slices, word_hashes
+from ledgermill.sources.paths import stored
 
 BITS = 256
 TERM_WORDS = 5
 #: Terms whose bits are spread out at once in a task.
 CHUNK = 1 << 15
+#: Queries that are looked for in one pass over the fingerprints.
+QUERIES = 1 << 17
 
 
 def term_hashes(column: pa.Array, words_per_term: int = TERM_WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -152,65 +157,124 @@ def edit_fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: s
     )
 
 
-def hex_number(text: Column, start: int, digits: int) -> Column:
-    """Up to 16 hexadecimal digits from ``start`` (0 is the first) as a BIGINT with the same bits."""
+def radius_for(similarity: float, recall: float) -> int:
+    """The least radius that holds a pair of this similarity with probability ``recall`` at least.
 
-    def part(at: int, size: int) -> Column:
-        return F.conv(F.substring(text, at + 1, size), 16, 10).cast("bigint")
+    A term set's fingerprint bits are signs of sums of random signs, so with J the
+    similarity as shared over all terms, each bit differs with probability
+    ``acos(2 J / (1 + J)) / pi``, and the bits are independent of each other.
+    """
+    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    within = 0.0
+    for radius in range(BITS + 1):
+        within += math.comb(BITS, radius) * p**radius * (1 - p) ** (BITS - radius)
+        if within >= recall:
+            return radius
+    return BITS
+
+
+def as_lanes(column: pa.Array) -> list[np.ndarray]:
+    """The 64-bit lanes of fingerprints in hexadecimal digits."""
+    lanes = BITS // 64
+    flat = np.frombuffer(bytes.fromhex("".join(column.to_pylist())), np.uint64).reshape(-1, lanes)
+    return [np.ascontiguousarray(flat[:, i]) for i in range(lanes)]
+
+
+def near_lists(queries: DataFrame, prints: DataFrame, radius: int) -> DataFrame:
+    """``query``, ``found`` and ``distance``: for each query the keys of the other fingerprints at most ``radius`` bits apart.
+
+    ``queries`` has a column ``fingerprint``, ``prints`` also a ``key``; both hold
+    each fingerprint once, and none is NULL. Every query is compared with every
+    fingerprint, so none is missed at any radius. A query has a row for each batch
+    of fingerprints that holds a near one. Queries go through the driver in blocks
+    of ``QUERIES``; fingerprints are not shuffled.
+    """
+    kind = prints.schema["key"].dataType.simpleString()
+    schema = f"query string, found array<{kind}>, distance array<int>"
+    context = prints.sparkSession.sparkContext
+
+    def search(block: list[str]) -> DataFrame:
+        shared = context.broadcast(block)
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            names = shared.value
+            asked = as_lanes(pa.array(names))
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                lanes, keys = as_lanes(batch.column("fingerprint")), batch.column("key")
+                query, found, distance = [], [], []
+                for i in range(len(names)):
+                    # Most fingerprints are too far already on half of the bits.
+                    half = np.bitwise_count(lanes[0] ^ asked[0][i]) + np.bitwise_count(lanes[1] ^ asked[1][i])
+                    at = np.flatnonzero(half <= radius)
+                    apart = half[at].astype(np.int32)
+                    for k in range(2, len(lanes)):
+                        apart += np.bitwise_count(lanes[k][at] ^ asked[k][i])
+                    near = np.flatnonzero((apart > 0) & (apart <= radius))
+                    if len(near):
+                        query.append(names[i])
+                        found.append(at[near])
+                        distance.append(apart[near])
+                if query:
+                    offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(query),
+                            pa.ListArray.from_arrays(offsets, keys.take(pa.array(np.concatenate(found)))),
+                            pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(distance))),
+                        ],
+                        names=["query", "found", "distance"],
+                    )
 
-    if digits <= 8:
-        return part(start, digits)
-    return F.shiftleft(part(start, digits - 8), 32).bitwiseOR(part(start + digits - 8, 8))
+        return prints.select("fingerprint", "key").mapInArrow(work, schema)
+
+    out: DataFrame | None = None
+    rows = queries.select("fingerprint").toLocalIterator()
+    while block := [r[0] for r in islice(rows, QUERIES)]:
+        more = search(block)
+        out = more if out is None else out.union(more)
+    return prints.sparkSession.createDataFrame([], schema) if out is None else out
 
 
 def within_radius(queries: DataFrame, prints: DataFrame, radius: int) -> DataFrame:
     """All pairs (query, found, distance) of different fingerprints at most ``radius`` bits apart.
 
     Both frames have a column ``fingerprint``; equal ones count once, and NULL
-    ones are left out. The digits are cut into ``radius + 1`` blocks: two
-    fingerprints within the radius agree on one block at least. One table per
-    block holds all fingerprints with that block in front as the key, and a query
-    looks into each table. A pair is given by the first table that has it. A radius
-    of 3 at least is asked for, so that a block fits into 64 bits.
+    ones are left out.
     """
-    lanes, digits = BITS // 64, BITS // 4
-    cuts = [round(i * digits / (radius + 1)) for i in range(radius + 2)]
-    blocks = list(zip(cuts, cuts[1:], strict=False))
-
-    def tables(df: DataFrame, name: str) -> DataFrame:
-        text = F.col("fingerprint")
-        key = [F.struct(F.lit(i).alias("table"), hex_number(text, a, b - a).alias("block")) for i, (a, b) in enumerate(blocks)]
-        halves = [hex_number(text, 16 * i, 16).alias(f"{name}{i}") for i in range(lanes)]
-        one = df.select(text).where(text.isNotNull()).distinct()
-        return one.select(*halves, F.explode(F.array(*key)).alias("_b")).select("*", "_b.*").drop("_b")
-
-    q, p = tables(queries, "q"), tables(prints, "p")
-    differing = [F.col(f"q{i}").bitwiseXOR(F.col(f"p{i}")) for i in range(lanes)]
-    distance = sum((F.bit_count(x) for x in differing), F.lit(0))
-
-    def agree(a: int, b: int) -> Column:
-        """Whether the digits from ``a`` to ``b`` are the same."""
-        same = F.lit(True)
-        for i in range(a // 16, -(-b // 16)):
-            first, last = max(a - 16 * i, 0), min(b - 16 * i, 16)
-            mask = ((1 << 4 * (last - first)) - 1) << 4 * (16 - last)
-            signed = mask - (1 << 64) if mask >> 63 else mask
-            same = same & (differing[i].bitwiseAND(F.lit(signed).cast("bigint")) == 0)
-        return same
-
-    earlier = F.lit(False)
-    for i, (a, b) in enumerate(blocks[:-1]):
-        earlier = earlier | ((F.lit(i) < F.col("q.table")) & agree(a, b))
-    condition = (
-        (F.col("q.table") == F.col("p.table"))
-        & (F.col("q.block") == F.col("p.block"))
-        & (distance > 0)
-        & (distance <= radius)
-        & ~earlier
-    )
+    q, p = (df.select("fingerprint").where(F.col("fingerprint").isNotNull()).distinct() for df in (queries, prints))
+    near = near_lists(q, p.withColumn("key", F.col("fingerprint")), radius)
+    pairs = near.select("query", F.explode(F.arrays_zip("found", "distance")).alias("_p"))
+    return pairs.select("query", "_p.found", "_p.distance")
 
-    def as_text(name: str) -> Column:
-        return F.concat(*(F.lpad(F.lower(F.hex(F.col(f"{name}{i}"))), 16, "0") for i in range(lanes)))
 
-    pairs = q.alias("q").join(p.alias("p"), condition)
-    return pairs.select(as_text("q").alias("query"), as_text("p").alias("found"), distance.alias("distance"))
+def with_near(prints: DataFrame, asked: Column, radius: int, id_column: str = "doc_id") -> DataFrame:
+    """``prints`` with class_id, near_count and near_ids.
+
+    Rows of equal fingerprints are a class; ``class_id`` is its least id. For the
+    rows that are ``asked``, ``near_count`` is the number of other classes at most
+    ``radius`` bits apart and ``near_ids`` their class ids in ascending order (a class
+    without any id is only counted); both are NULL for other rows.
+    """
+    classes = stored(
+        prints.groupBy("fingerprint").agg(
+            F.min(id_column).alias("key"), F.count("*").alias("n"), F.coalesce(F.max(asked), F.lit(False)).alias("asked")
+        ),
+        "classes",
+    )
+    near = (
+        near_lists(classes.where("asked"), classes, radius)
+        .groupBy(F.col("query").alias("fingerprint"))
+        .agg(F.sum(F.size("found")).alias("n_near"), F.flatten(F.collect_list("found")).alias("near"))
+    )
+    # Other classes are one row that has all there is to know.
+    facts = classes.where("asked OR n > 1").select("fingerprint", "key").join(near, "fingerprint", "left")
+    known = stored(facts.withColumn("near", F.array_sort(F.array_compact("near"))), "near")
+    wanted = F.coalesce(asked, F.lit(False))
+    return prints.join(known, "fingerprint", "left").select(
+        *prints.columns,
+        F.coalesce("key", id_column).alias("class_id"),
+        F.when(wanted, F.coalesce("n_near", F.lit(0))).alias("near_count"),
+        F.when(wanted, F.coalesce("near", F.array().cast(f"array<{prints.schema[id_column].dataType.simpleString()}>"))).alias("near_ids"),
+    )

@@ -5,7 +5,7 @@ import random
 
 import pyarrow as pa
 
-from ledgermill.llm.simhash import BITS, edit_fingerprints, fingerprints, within_radius
+from ledgermill.llm.simhash import BITS, edit_fingerprints, fingerprints, radius_for, with_near, within_radius
 
 
 def test_edited_texts_and_likeness(spark, odd_docs, odd_texts):
@@ -51,3 +51,40 @@ def test_radius_search_finds_all_pairs(spark):
         queries = frame.where(frame.fingerprint.isin([f"{a:0{BITS // 4}x}" for a in asked]))
         found = [(int(r["query"], 16), int(r["found"], 16), r["distance"]) for r in within_radius(queries, frame, radius).collect()]
         assert len(found) == len(set(found)) and set(found) == expected
+
+
+def test_near_copies_and_equal_ones_are_named(spark):
+    """Copies of similarity 0.8 to 0.99, far beyond a few bits, and equal texts come with their ids."""
+    draw = random.Random(8)
+    base = [f"w{draw.randrange(5000)}" for _ in range(1000)]
+    texts = {0: " ".join(base), 7: " ".join(base)}
+    for i, edits in enumerate((1, 4, 10, 18), start=1):
+        copy = list(base)
+        for k in range(edits):
+            copy[(k * 1000) // edits] = f"x{i}-{k}"
+        texts[i] = " ".join(copy)
+    for i in range(20, 30):
+        texts[i] = " ".join(f"y{draw.randrange(5000)}" for _ in range(300))
+    prints = fingerprints(pa.array(list(texts.values())))
+    rows = [(k, p.tobytes().hex()) for k, p in zip(texts, prints, strict=True)]
+    frame = spark.createDataFrame(rows + [(None, rows[0][1])], "doc_id bigint, fingerprint string")
+    found = with_near(frame, frame.doc_id == 7, radius_for(0.8, 0.99)).collect()
+    assert len(found) == len(rows) + 1
+    for r in found:
+        assert r.class_id == (0 if r.doc_id in (0, 7, None) else r.doc_id)
+        assert (r.near_count, r.near_ids) == ((4, [1, 2, 3, 4]) if r.doc_id == 7 else (None, None))
+    assert radius_for(1.0, 0.99) == 0 and 26 < radius_for(0.9, 0.99) < radius_for(0.8, 0.99) < 60
+
+
+def test_registered_query_against_brute_force(spark, small_dir):
+    from ledgermill.llm.queries import op2_simhash
+
+    rows = op2_simhash(spark, small_dir).collect()
+    radius = radius_for(0.8, 0.99)
+    classes = {}
+    for r in rows:
+        classes[r.fingerprint] = min(r.doc_id, classes.get(r.fingerprint, r.doc_id))
+    for r in rows:
+        assert r.class_id == classes[r.fingerprint]
+        near = [k for f, k in classes.items() if 0 < (int(f, 16) ^ int(r.fingerprint, 16)).bit_count() <= radius]
+        assert (r.near_count, r.near_ids) == ((len(near), sorted(near)) if r.doc_id % 50 == 0 else (None, None))
