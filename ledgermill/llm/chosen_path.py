@@ -4,8 +4,11 @@ A document's set holds the distinct runs of words of its text. In each of severa
 independent trees a document follows one path: at every node the tree chooses one
 of ``COORDINATES`` minwise hash functions, and the document goes to the child named
 by its minwise token there. Two documents of similarity s share a node of depth d
-with probability s ** d, so ``TREES`` trees from depth ``FIRST_DEPTH`` on miss a pair of
-similarity 0.85 about once in four million.
+with probability about s ** d. The trees share their coordinates, so the chance of
+a pair to meet depends on how many of its coordinates agree, a binomial number;
+``trees_needed`` gives the trees that keep ``RECALL`` of the pairs at the threshold.
+A document in a large node of the first depth has more trees, as many as nodes of
+the last depth need.
 
 A document stops at its first node of at most ``LEAF`` documents, and these small
 nodes are compared exhaustively. A node still larger at ``LAST_DEPTH`` holds
@@ -20,6 +23,7 @@ every link, are moved about once per document with a likely partner.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,16 +38,36 @@ from ledgermill.llm.ragged import distinct_by_text, mixed, shingle_hashes, split
 from ledgermill.sources.paths import stored
 
 COORDINATES = 96
+#: Trees of every document, or more if nodes of the first depth need them.
 TREES = 12
 FIRST_DEPTH, LAST_DEPTH = 2, 6
 LEAF = 64
-#: The trees of each batch; the first joins most groups.
-BATCHES = ([0], [1, 2], list(range(3, TREES)))
+#: Share of the pairs at the threshold that meet in a tree at least.
+RECALL = 0.999
+#: The first trees of each batch; the first batch joins most groups, the last has the trees of deep nodes.
+BATCHES = (0, 1, 3, TREES)
 #: Pairs whose minwise tokens agree in less than the threshold minus this are not likely:
 #: over four standard deviations of the estimate.
 MARGIN = 0.15
 
 
+def missed(similarity: float, depth: int, trees: int) -> float:
+    """The share of pairs of a similarity that meet in none of the trees if all their nodes are of this depth."""
+    total = 0.0
+    for agree in range(COORDINATES + 1):
+        chance = math.comb(COORDINATES, agree) * similarity**agree * (1 - similarity) ** (COORDINATES - agree)
+        total += chance * (1 - (agree / COORDINATES) ** depth) ** trees
+    return total
+
+
+def trees_needed(similarity: float, depth: int) -> int:
+    """The least number of trees, ``TREES`` at least, that misses no more than 1 - ``RECALL`` of the pairs."""
+    trees = TREES
+    while missed(similarity, depth, trees) > 1 - RECALL:
+        trees += 1
+    return trees
+
+
 def coordinate_seeds() -> tuple[np.ndarray, np.ndarray]:
     numbers = mixed(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     return numbers[:COORDINATES], numbers[COORDINATES:] | np.uint64(1)
@@ -131,9 +155,10 @@ def paths(reps: DataFrame, depths: list[int], trees: list[int]) -> DataFrame:
     return reps.mapInArrow(work, f"rep {kind}, tree int, depth int, node bigint")
 
 
-def small_nodes(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The nodes to compare (node, tree, rep), and the members of nodes that stay large (node, rep)."""
-    first = stored(paths(reps, [FIRST_DEPTH], list(range(TREES))), "nodes")
+def small_nodes(reps: DataFrame, trees: list[int]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The nodes to compare (node, tree, rep), the members of nodes that stay large (node, rep, n), and the
+    documents in large nodes of the first depth (rep)."""
+    first = stored(paths(reps, [FIRST_DEPTH], trees), "nodes")
     sizes = first.groupBy("node").agg(F.count("*").alias("n")).where(F.col("n") > 1)
     shared = stored(first.join(sizes, "node"), "nodes")
     leaves = shared.where(F.col("n") <= LEAF).select("node", "tree", "rep")
@@ -141,7 +166,7 @@ def small_nodes(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
     deeper = paths(
         reps.join(crowd.select("rep").distinct(), "rep", "left_semi"),
         list(range(FIRST_DEPTH + 1, LAST_DEPTH + 1)),
-        list(range(TREES)),
+        trees,
     ).join(crowd.select("rep", "tree"), ["rep", "tree"], "left_semi")
     deep = stored(deeper, "nodes")
     deep_sizes = deep.groupBy("node").agg(F.count("*").alias("n"), F.min("rep").alias("least"))
@@ -155,7 +180,22 @@ def small_nodes(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
     # Each part also holds the least document of the node.
     with_least = cut.select("node", "tree", "rep").union(cut.select("node", "tree", F.col("least").alias("rep"))).distinct()
     nodes = leaves.union(stopped.where(F.col("n") <= LEAF).select("node", "tree", "rep")).union(with_least)
-    return stored(nodes, "leaves"), stored(large.select("node", "rep", "n"), "large-nodes")
+    return stored(nodes, "leaves"), stored(large.select("node", "rep", "n"), "large-nodes"), crowd.select("rep").distinct()
+
+
+def all_nodes(reps: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """The nodes to compare and the members of large ones, over as many trees as the threshold needs.
+
+    If one document of a pair is in no large node, the pair is compared wherever it
+    shares a node of the first depth. Else both have the trees of the last depth.
+    """
+    base, most = trees_needed(threshold, FIRST_DEPTH), trees_needed(threshold, LAST_DEPTH)
+    nodes, large, crowded = small_nodes(reps, list(range(base)))
+    crowded = stored(crowded, "crowded")
+    if most == base or crowded.isEmpty():
+        return nodes, large
+    more_nodes, more_large, _ = small_nodes(reps.join(crowded, "rep", "left_semi"), list(range(base, most)))
+    return nodes.union(more_nodes), large.union(more_large)
 
 
 def by_node(rows: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
@@ -291,7 +331,7 @@ def near_duplicate_groups(
     facts = stored(described(source, words_per_shingle), "sets")
     usable = facts.where(F.col("id").isNotNull() & (F.col("n_shingles") > 0))
     classes = stored(usable.groupBy("set_key").agg(F.min("id").alias("rep"), F.min("tokens").alias("tokens")), "classes")
-    nodes, large = small_nodes(classes.select("rep", "tokens"))
+    nodes, large = all_nodes(classes.select("rep", "tokens"), threshold)
     active = stored(likely(nodes, classes, threshold), "likely")
     involved = active.select("rep").union(large.select("rep")).distinct()
     wanted = source.join(stored(involved.select(F.col("rep").alias("id")), "involved"), "id", "left_semi")
@@ -302,8 +342,9 @@ def near_duplicate_groups(
         pairs = stored(links(open_nodes(rows, labels).join(sets, "rep"), threshold), "links")
         return labels if pairs.isEmpty() else merged(labels, pairs)
 
-    for trees in BATCHES:
-        labels = step(labels, active.where(F.col("tree").isin(trees)).select("node", "rep"))
+    for low, high in zip(BATCHES, [*BATCHES[1:], None], strict=True):
+        batch = F.col("tree") >= low if high is None else (F.col("tree") >= low) & (F.col("tree") < high)
+        labels = step(labels, active.where(batch).select("node", "rep"))
     if not large.isEmpty():
         labels = step(labels, left_over(large, labels))
     named = classes.select("set_key", "rep").join(labels, "rep", "left")

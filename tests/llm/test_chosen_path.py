@@ -88,3 +88,21 @@ def test_odd_documents(odd_docs, odd_texts, no_docs):
             assert r.component_id == expected[r.doc_id] and r.kept == (r.doc_id == r.component_id)
     assert expected[6] == expected[7] == 5
     assert near_duplicate_groups(no_docs).count() == 0
+
+
+def test_deep_nodes_get_the_trees_that_the_threshold_needs(spark, monkeypatch):
+    """Isolated pairs of about the threshold whose nodes all get as deep as can be: hardly any may be missed."""
+    for threshold in (0.8, 0.85):
+        for depth in (2, 4, 6):
+            trees = chosen_path.trees_needed(threshold, depth)
+            assert chosen_path.missed(threshold, depth, trees) <= 1 - chosen_path.RECALL
+    assert chosen_path.missed(0.8, 6, 12) > 0.03
+    monkeypatch.setattr(chosen_path, "LEAF", 1)
+    texts = {}
+    for pair in range(300):
+        words = [f"p{pair}-{k}" for k in range(100)]
+        for words in (words, words[:89] + [f"q{pair}-{k}" for k in range(11)]):
+            texts[len(texts)] = " ".join(words)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    rows = near_duplicate_groups(docs, 1, 0.8).collect()
+    assert sum(not r.kept for r in rows) >= 299
