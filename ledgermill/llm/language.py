@@ -4,7 +4,9 @@ A word's script, told by the code-point range of its first letter, leaves the
 languages that use this script in the training texts. Each word then gets a score
 per language from its character runs of one to four letters, and the best path
 through the words of a text, with a penalty for each change of language, labels
-its spans. The text gets the language that most of its letters are in.
+its spans. One more state is the unknown: it scores a word as text of a language
+that was not learned would, and has the words of scripts that no language uses. The
+text gets the language that most of its letters are in.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ SWITCH_PENALTY = 10.0
 #: A language uses a script if at least this share of its words is written in it.
 SCRIPT_SHARE = 0.01
 IMPOSSIBLE = np.float32(-1e4)
+#: Where the unknown scores a character run, between a run drawn evenly (0) and the mean of the language's own (1).
+BACKGROUND = 0.4
 
 #: First code points of the ranges, and the script of each; "" is none of these.
 SCRIPT_RANGES = [
@@ -107,6 +111,7 @@ class LanguageModel:
     languages: list[str]
     scores: np.ndarray  # log-probability of each bucket in each language, shared out over the orders
     allowed: np.ndarray  # of each script and language
+    background: np.ndarray  # score of a run of the unknown, beside each language
 
 
 def train_language_model(docs: DataFrame, language_column: str = "lang", text_column: str = "text") -> LanguageModel:
@@ -133,7 +138,7 @@ def train_language_model(docs: DataFrame, language_column: str = "lang", text_co
                 times = np.bincount(words.codes[of_word == language], minlength=len(words.vocabulary))
                 total = totals.setdefault(language, np.zeros(width, np.int64))
                 total[:BUCKETS] += np.bincount(found.runs, times[found.owners], BUCKETS).astype(np.int64)
-                total[BUCKETS:] += np.bincount(found.scripts, times, len(SCRIPTS)).astype(np.int64)
+                total[BUCKETS:] += np.bincount(found.scripts, times * (found.letters > 0), len(SCRIPTS)).astype(np.int64)
         for language, total in totals.items():
             some = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays(
@@ -151,26 +156,36 @@ def train_language_model(docs: DataFrame, language_column: str = "lang", text_co
     place = {name: i for i, name in enumerate(languages)}
     counts[rows["slot"].to_numpy(np.int64), rows["lang"].map(place).to_numpy(np.int64)] = rows["n"].to_numpy(np.float64)
     runs, scripts = counts[:BUCKETS], counts[BUCKETS:]
-    scores = np.log((runs + SMOOTHING) / (runs.sum(axis=0) + SMOOTHING * BUCKETS)) / ORDERS
+    total = runs.sum(axis=0)
+    scores = np.log((runs + SMOOTHING) / (total + SMOOTHING * BUCKETS)) / ORDERS
+    # A language of few texts is hardly known itself, so its unknown stays near runs drawn evenly.
+    even, sure = -np.log(BUCKETS) / ORDERS, total / (total + SMOOTHING * BUCKETS)
+    own = (runs * scores).sum(axis=0) / np.maximum(total, 1)
+    background = even + BACKGROUND * sure * np.maximum(own - even, 0)
     allowed = scripts >= SCRIPT_SHARE * np.maximum(scripts.sum(axis=0), 1)
-    # A script that no language uses narrows nothing.
-    allowed[~allowed.any(axis=1)] = True
-    return LanguageModel(languages, scores.astype(np.float32), allowed)
+    return LanguageModel(languages, scores.astype(np.float32), allowed, background.astype(np.float32))
 
 
-def word_scores(words: Words, model: LanguageModel, known: dict[int, bool]) -> tuple[np.ndarray, np.ndarray]:
-    """Score of each distinct word in each language, and its letters; words without letters score 0."""
+def word_scores(words: Words, model: LanguageModel, known: dict[int, bool]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Score of each distinct word in each language and the unknown, its letters, and whether no language uses its script.
+
+    Words without letters and of scripts that no language uses score 0.
+    """
     found = vocabulary_runs(words, known)
-    size = len(words.vocabulary)
-    scores = np.zeros((size, len(model.languages)), np.float32)
-    for k in range(len(model.languages)):
+    size, width = len(words.vocabulary), len(model.languages)
+    scores = np.zeros((size, width + 1), np.float32)
+    for k in range(width):
         scores[:, k] = np.bincount(found.owners, model.scores[found.runs, k], size)[:size]
-    scores[~model.allowed[found.scripts] & (found.letters > 0)[:, None]] = IMPOSSIBLE
-    return scores, found.letters
+    foreign = (found.letters > 0) & ~model.allowed[found.scripts].any(axis=1)
+    scores[:, :width][~model.allowed[found.scripts] & (found.letters > 0)[:, None]] = IMPOSSIBLE
+    # The unknown beside the language that the word fits best.
+    scores[:, width] = np.bincount(found.owners, minlength=size)[:size] * model.background[scores[:, :width].argmax(axis=1)]
+    scores[(found.letters == 0) | foreign] = 0
+    return scores, found.letters, foreign
 
 
 def best_paths(scores: np.ndarray, bounds: np.ndarray, penalty: float) -> np.ndarray:
-    """The best language of each word, for all texts at once.
+    """The best language of each word, for all texts at once; the last one is the unknown.
 
     ``scores[bounds[i]:bounds[i + 1]]`` are the words of text ``i``. Texts are
     walked in step, longest first; from one word to the next a text keeps its
@@ -188,6 +203,8 @@ def best_paths(scores: np.ndarray, bounds: np.ndarray, penalty: float) -> np.nda
     origin = np.zeros(len(scores), np.int32)
     value = np.zeros((len(order), scores.shape[1]), np.float32)
     value[: alive[0]] = scores[first[: alive[0]]]
+    # A text is taken to be of a language until its words say otherwise.
+    value[: alive[0], -1] -= np.float32(penalty)
     for t in range(1, steps):
         here = value[: alive[t]]
         at = first[: alive[t]] + t
@@ -212,8 +229,8 @@ class Labelled:
 
     words: Words
     path: np.ndarray
-    best: np.ndarray
-    share: np.ndarray
+    best: np.ndarray  # the unknown if it has more letters than any language
+    share: np.ndarray  # of the first language by letters
     total: np.ndarray  # letters of each text
 
 
@@ -221,13 +238,15 @@ def labelled_texts(column: pa.Array, model: LanguageModel, known: dict[int, bool
     """Label texts with a model that knows a language at least."""
     rows, width = len(column), len(model.languages)
     words = split_words(column)
-    scores, letters = word_scores(words, model, known)
+    scores, letters, foreign = word_scores(words, model, known)
     path = best_paths(scores[words.codes], words.bounds, penalty)
+    path[foreign[words.codes]] = width
     weight = letters[words.codes]
-    shares = np.bincount(words.document() * width + path, weight, rows * width).reshape(rows, width)
+    shares = np.bincount(words.document() * (width + 1) + path, weight, rows * (width + 1)).reshape(rows, width + 1)
     total = shares.sum(axis=1)
-    best = shares.argmax(axis=1)
-    return Labelled(words, path, best, shares[np.arange(rows), best] / np.maximum(total, 1), total)
+    best = shares[:, :width].argmax(axis=1)
+    share = shares[np.arange(rows), best]
+    return Labelled(words, path, np.where(shares[:, width] > share, width, best), share / np.maximum(total, 1), total)
 
 
 def label_languages(
@@ -243,16 +262,18 @@ def label_languages(
     first by name), ``score`` the share of letters in it, ``spans`` the runs of
     words of one language (first word, words, language). A text that is NULL or
     has no letter is ``und`` with score 0 and no spans, as is every text if the
-    model knows no language. Rows of equal or NULL id keep a result each.
+    model knows no language. Letters of no known language count against the score
+    and are in no span; a text with more of them than of any language is ``und``
+    with score 0. Rows of equal or NULL id keep a result each.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.scores, model.allowed))
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.scores, model.allowed, model.background))
     kind = docs.schema[id_column].dataType.simpleString()
 
     def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = LanguageModel(*shared.value)
         if not model.languages:
             # One language that no text is given.
-            model = LanguageModel([UNKNOWN], np.zeros((BUCKETS, 1), np.float32), np.ones((len(SCRIPTS), 1), bool))
+            model = LanguageModel([UNKNOWN], np.zeros((BUCKETS, 1), np.float32), np.ones((len(SCRIPTS), 1), bool), np.zeros(1, np.float32))
         names = np.array([*model.languages, UNKNOWN], dtype=object)
         known: dict[int, bool] = {}
         width = max(1, len(model.languages))
@@ -296,7 +317,7 @@ def keep_languages(
     docs: DataFrame, model: LanguageModel, least: float, text_column: str = "text", penalty: float = SWITCH_PENALTY
 ) -> DataFrame:
     """The rows whose text has a known language with at least the share ``least`` of its letters."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.scores, model.allowed))
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.scores, model.allowed, model.background))
 
     def wanted(column: pa.Array) -> np.ndarray:
         if not shared.value[0]:

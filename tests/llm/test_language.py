@@ -63,3 +63,24 @@ def test_registered_query_on_held_out_documents(spark, small_dir):
     rows = op4_language(spark, small_dir).join(spark.read.parquet(f"{small_dir}/documents.parquet"), "doc_id")
     right = rows.where("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double"))).first()[0]
     assert right > 0.95
+
+
+def test_texts_of_no_learned_language(spark, small_dir):
+    """Other languages of a learned script, other scripts and letter junk are unknown and go."""
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    model = train_language_model(docs)
+    junk = random.Random(1)
+    foreign = {
+        1: "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+        2: "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+        3: "人人生而自由 在尊严和权利上一律平等",
+        4: " ".join("".join(junk.choices("bcdfghjkmpqvwxyz", k=8)) for _ in range(30)),
+    }
+    known = docs.where("lang IS NOT NULL AND length(text) > 500").limit(1).first()
+    texts = foreign | {10: known.text, 11: known.text[:200] + " " + foreign[2]}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    rows = {r.doc_id: r for r in label_languages(frame, model).collect()}
+    assert all((rows[i].lang_pred, rows[i].score, rows[i].spans) == ("und", 0.0, []) for i in foreign)
+    assert rows[10].lang_pred == known.lang and rows[10].score > 0.9
+    assert rows[11].lang_pred == known.lang and 0.5 < rows[11].score < 0.9
+    assert [r.doc_id for r in keep_languages(frame, model, 0.4).orderBy("doc_id").collect()] == [10, 11]
