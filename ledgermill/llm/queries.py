@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.llm.chosen_path import near_duplicate_groups
+from ledgermill.llm.filter_audit import audit_filters
 from ledgermill.llm.language import held_out, label_languages, train_language_model
 from ledgermill.llm.latent import contaminated
+from ledgermill.llm.licenses import license_matches, license_summary
 from ledgermill.llm.markov import score_texts
 from ledgermill.llm.mixing import mix_documents
+from ledgermill.llm.periodic import periodic_runs
 from ledgermill.llm.simhash import edit_fingerprints, radius_for, with_near
 from ledgermill.llm.token_counts import count_tokens
 from ledgermill.llm.token_files import read_token_files, write_token_files
@@ -106,6 +109,47 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return read_token_files(spark, out)
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """What five filters remove, keep and repeat in every order, by source."""
+    return audit_filters(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def with_repeated_end(docs: DataFrame) -> DataFrame:
+    """Texts of which about a tenth (by the id) end in words that repeat with one period."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    chosen = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    n = F.size("words")
+    numbers = chosen.select("*", n.alias("n"), F.when(n > 0, F.col("g") % n).alias("a")).select(
+        "*", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).alias("p")
+    )
+    edited = F.transform(
+        "words",
+        lambda w, i: F.when(i < F.col("a"), w).otherwise(F.get("words", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))),
+    )
+    return numbers.select("doc_id", F.when(F.col("n") > 0, F.array_join(edited, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words in every document, a tenth of them with a repeated end."""
+    found = periodic_runs(with_repeated_end(table(spark, folder, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    best = F.col("strongest")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[best[name].alias(name) for name in ("start", "length", "period")],
+        F.expr("(1000 * strongest.length) div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_license_signatures(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases and signatures of every document."""
+    return license_summary(license_matches(table(spark, folder, "documents")))
+
+
 REGISTRY: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_simhash": op2_simhash,
@@ -117,4 +161,7 @@ REGISTRY: dict[str, Query] = {
     "op8_soft_mixing": op8_soft_mixing,
     "op9_chosen_path": op9_chosen_path,
     "op10_token_files": op10_token_files,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_license_signatures": op13_license_signatures,
 }
