@@ -357,12 +357,11 @@ def rate_histogram(loans: DataFrame, bins: int = 12) -> DataFrame:
     """Active loans per equal-width interest-rate bin, all bins from the first to the last.
 
     The range comes from the rates themselves; the highest rate belongs to the
-    last bin.
+    last bin. A range without width has the first bin alone.
     """
     rates = loans.filter((F.col("status") == "ACTIVE") & F.col("interest_rate").isNotNull())
-    low = rates.agg(F.min("interest_rate")).scalar()
-    high = rates.agg(F.max("interest_rate")).scalar()
-    ranged = rates.select("interest_rate", low.alias("low"), high.alias("high"))
+    ends = rates.agg(F.struct(F.min("interest_rate").alias("low"), F.max("interest_rate").alias("high"))).scalar()
+    ranged = rates.select("interest_rate", ends["low"].alias("low"), ends["high"].alias("high"))
     spread = F.col("high") - F.col("low")
     raw_bin = F.when(
         spread > 0,
@@ -378,6 +377,7 @@ def rate_histogram(loans: DataFrame, bins: int = 12) -> DataFrame:
         )
     )
     every = loans.sparkSession.range(1, bins + 1).withColumnRenamed("id", "bin")
+    every = every.where((F.col("bin") == 1) | F.coalesce(ends["low"] != ends["high"], F.lit(True)))
     return every.join(filled, "bin", "left").withColumn(
         "loan_count", F.coalesce("loan_count", F.lit(0).cast("bigint"))
     )

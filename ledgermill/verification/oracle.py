@@ -639,7 +639,11 @@ add(
 add("cir_matrix_long", "SELECT * FROM ratio_months")
 add(
     "cir_matrix_pivot",
-    "PIVOT ratio_months ON month USING max(cir) GROUP BY branch_id",
+    """SELECT branch_id, month, max(cir) AS cir
+       FROM (SELECT * FROM (SELECT DISTINCT branch_id FROM ratio_months),
+                           (SELECT DISTINCT month FROM ratio_months)) AS every
+            LEFT JOIN ratio_months USING (branch_id, month)
+       GROUP BY branch_id, month""",
 )
 
 # --- headlines and products -------------------------------------------------
@@ -808,9 +812,11 @@ add(
             ends AS (SELECT min(interest_rate) AS lo, max(interest_rate) AS hi FROM active)
        SELECT b.bin, count(interest_rate) AS loan_count, min(interest_rate) AS lowest_rate,
               max(interest_rate) AS highest_rate
-       FROM range(1, 13) AS b(bin) LEFT JOIN
+       FROM (SELECT bin FROM range(1, 13) AS r(bin), ends WHERE bin = 1 OR coalesce(lo <> hi, TRUE)) AS b LEFT JOIN
             (SELECT interest_rate,
-                    CAST(least(floor((interest_rate - lo) * 12 / (hi - lo)) + 1, 12) AS BIGINT) AS bin
+                    CASE WHEN hi > lo
+                         THEN CAST(least(floor((interest_rate - lo) * 12 / (hi - lo)) + 1, 12) AS BIGINT)
+                         ELSE 1 END AS bin
              FROM active, ends) USING (bin) GROUP BY 1""",
 )
 add(

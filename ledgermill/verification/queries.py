@@ -465,7 +465,8 @@ def cir_matrix_pivot(bank):
     ratios = marts.branch_month_ratio(
         _revenue_monthly(bank), _costs_monthly(bank), _branch_mart(bank)
     )
-    return marts.ratio_matrix(ratios)
+    # Back into one row for each branch and month, so that the columns do not depend on the data.
+    return marts.ratio_matrix(ratios).unpivot("branch_id", None, "month", "cir")
 
 
 # --- headlines and products -------------------------------------------------
