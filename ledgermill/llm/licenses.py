@@ -11,14 +11,15 @@ rules are literals of a few hundred rows, tried one after the other on a row.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Words: letters and digits of ASCII, and all other code points beyond it.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What parts words: all of ASCII but letters and digits.
+NO_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Score of a text by the words of its longest match.
 WORDS_TO_TRUST = 2.0
@@ -57,7 +58,7 @@ def license_rules() -> list[Rule]:
 
     # Titles of the base come last; every longer signature contains them.
     for phrase, label in BASE_PHRASES.items():
-        add(label, phrase.split()[0], phrase, priority=90)
+        add(label, "license", phrase, priority=90)
 
     # The share-alike family: kind x version x form.
     kinds = {"gpl": "(gnu)? general public licen[sc]e", "lgpl": "(gnu)? (?:lesser|library) general public licen[sc]e", "agpl": "(gnu)? affero general public licen[sc]e"}
@@ -69,7 +70,7 @@ def license_rules() -> list[Rule]:
             add(f"{kind}-{number}", kind, f"{kind} {version}", f"{kind}v{number.partition('.')[0]}", f"licensed under (the)? (gnu)? {kind} {version}", priority=30)
             add(f"{kind}-{number}-or-later", kind, f"{kind} {version} or later", f"{kind} {version} plus", priority=20)
             add(f"{kind}-{number}-only", kind, f"{kind} {version} only", priority=20)
-        add(kind, "general", title, priority=60)
+        add(kind, "public", title, priority=60)
         add(kind, kind, f"{kind} licen[sc]e", f"licensed under (the)? (gnu)? {kind}", priority=70)
 
     # Creative commons: six uses x four versions, by name and by identifier.
@@ -111,8 +112,7 @@ def license_rules() -> list[Rule]:
         "isc": ("isc", (), "isc licen[sc]e"),
         "wtfpl": ("want", (), "do what the f[a-z]* you want to public licen[sc]e"),
         "unlicense": ("unlicense", (), "(the)? unlicense"),
-        "mit": ("mit", (), "mit x11 licen[sc]e"),
-        "x11": ("x11", (), "x11 licen[sc]e"),
+        "x11": ("x11", (), "(mit)? x11 licen[sc]e"),
         "0bsd": ("zero", (), "zero clause bsd"),
     }
     for label, (keyword, numbers, title) in named.items():
@@ -130,7 +130,8 @@ def license_rules() -> list[Rule]:
     add("bsd-3-clause", "bsd", "(?:new|revised|modified) bsd licen[sc]e", priority=20)
     add("bsd-4-clause", "bsd", "(?:original|old) bsd licen[sc]e", priority=20)
     add("bsd", "bsd", "bsd (style)? licen[sc]e", "licensed under (the)? bsd", priority=60)
-    add("mit", "mit", "licensed under (the)? mit (license)?", "released under (the)? mit (license)?", "spdx license identifier mit", priority=40)
+    for verb in ("licensed", "released", "distributed"):
+        add("mit", verb, f"{verb} under (the)? mit (license)?", priority=40)
 
     # Sentences of license texts.
     add("mit", "charge", "permission is hereby granted free of charge to any person obtaining a copy", priority=5)
@@ -162,8 +163,11 @@ def numbered_pattern(pattern: str) -> str:
     return f"(?<= ){''.join(out)}"
 
 
-def word_count(text: Column) -> Column:
-    return F.size(F.regexp_extract_all(text, F.lit("[^ ]+"), F.lit(0)))
+def any_of(keywords: set[str]) -> str:
+    """A regex that finds any of the keywords as a word, tried by first letter."""
+    letters = sorted({k[0] for k in keywords})
+    groups = [f"{a}(?:{'|'.join(sorted(k[1:] for k in keywords if k[0] == a))})" for a in letters]
+    return f"(?:^| )(?:{'|'.join(groups)})(?: |$)"
 
 
 def license_matches(
@@ -178,28 +182,21 @@ def license_matches(
     """
     rules = license_rules() if rules is None else list(rules)
     table = sorted({(r.priority, f" {r.keyword} ", numbered_pattern(r.pattern), r.label) for r in rules})
-    literals = F.array(
-        *[
-            F.struct(F.lit(p).alias("priority"), F.lit(k).alias("keyword"), F.lit(regex).alias("regex"), F.lit(label).alias("label"))
-            for p, k, regex, label in table
-        ]
-    )
-    gate = "|".join(sorted({r.keyword for r in rules}))
-    words = F.regexp_extract_all(F.translate(F.coalesce(F.col(text_column), F.lit("")), CAPITALS, SMALL), F.lit(WORD), F.lit(0))
-    rows = docs.select(docs[id_column].alias("id"), F.array_join(words, " ").alias("words"))
-    gated = F.col("words").rlike(f"(?:^| )(?:{gate})(?: |$)")
-    plain = F.concat(F.lit(" "), F.col("words"), F.lit(" "))
-    with_numbers = F.concat(
-        F.lit(" "),
-        F.array_join(F.transform(F.split("words", " "), lambda w, i: F.concat(i.cast("string"), F.lit(":"), w)), " "),
-        F.lit(" "),
+    listed = json.dumps([dict(zip(("priority", "keyword", "regex", "label"), row, strict=True)) for row in table])
+    literals = F.from_json(F.lit(listed), "array<struct<priority: int, keyword: string, regex: string, label: string>>")
+    rows = docs.select(docs[id_column].alias("id"), F.coalesce(docs[text_column], F.lit("")).alias("text")).select(
+        "id", F.trim(F.regexp_replace("text", NO_WORD, " ")).alias("words")
     )
+    blanks = F.length("words") - F.length(F.replace("words", F.lit(" "), F.lit("")))
     rows = rows.select(
         "id",
-        word_count(F.col("words")).cast("long").alias("n_words"),
-        F.when(gated, plain).alias("plain"),
-        F.when(gated, with_numbers).alias("numbered"),
+        F.when(F.col("words") == "", 0).otherwise(blanks + 1).cast("long").alias("n_words"),
+        # Lower case of all letters finds some texts too many; the rules see A-Z in lower case only.
+        F.when(F.lower("words").rlike(any_of({r.keyword for r in rules})), F.concat(F.lit(" "), F.translate("words", CAPITALS, SMALL), F.lit(" "))).alias("plain"),
     )
+    words = F.split(F.trim("plain"), " ")
+    numbered = F.array_join(F.transform(words, lambda w, i: F.concat(i.cast("string"), F.lit(":"), w)), " ")
+    rows = rows.select("*", F.when(F.col("plain").isNotNull(), F.concat(F.lit(" "), numbered, F.lit(" "))).alias("numbered"))
 
     def number(match: Column) -> Column:
         return F.substring_index(match, ":", 1).cast("long")
