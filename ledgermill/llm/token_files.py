@@ -150,10 +150,13 @@ class WordEncoder:
     """
 
     WORDS_AT_ONCE = 4096
+    #: Bytes of words whose ids are kept for later slices of the task; beyond it the table starts anew.
+    TABLE_BYTES = 16 << 20
 
     def __init__(self, path: str, end_id: int) -> None:
         self.library = Tokenizer.from_file(path)
         self.end_id = end_id
+        self.forget()
         self.specials = {k: t.content for k, t in sorted(self.library.get_added_tokens_decoder().items()) if t.special}
 
         #: Whether the vocabulary has no capitals, so that words can be lower-cased before they are told apart.
@@ -207,12 +210,30 @@ class WordEncoder:
         flat = np.concatenate([*bodies, np.zeros(0, np.int64)])
         return flat[np.repeat(first, counts) + ragged_range(counts)], counts
 
+    def forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.known_bytes = 0
+        self.flat, self.first, self.count = (np.zeros(0, np.int64) for _ in range(3))
+
+    def looked_up(self, vocabulary: list[bytes]) -> np.ndarray:
+        """The places of words in the table of ``flat``, ``first`` and ``count``; new words are added to it."""
+        if self.known_bytes > self.TABLE_BYTES:
+            self.forget()
+        new = [w for w in vocabulary if w not in self.known]
+        if new:
+            flat, counts = self.word_ids(new)
+            self.first = np.append(self.first, len(self.flat) + np.cumsum(counts) - counts)
+            self.flat, self.count = np.append(self.flat, flat), np.append(self.count, counts)
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+            self.known_bytes += sum(map(len, new))
+        return np.fromiter(map(self.known.__getitem__, vocabulary), np.int64, len(vocabulary))
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each with the end id behind it, and the count of each text."""
         words = split_words(column, lower=self.folds and not self.near_special(column))
-        flat, sizes = self.word_ids(words.vocabulary.to_pylist())
-        flat, sizes = np.append(flat, self.end_id), np.append(sizes, 1)
-        firsts = np.cumsum(sizes) - sizes
+        places = self.looked_up(words.vocabulary.to_pylist())
+        flat, sizes = np.append(self.flat, self.end_id), np.append(self.count[places], 1)
+        firsts = np.append(self.first[places], len(self.flat))
         # The end id stands as a word of its own behind each text.
         codes = np.insert(words.codes, words.bounds[1:], len(sizes) - 1)
         each = sizes[codes]
