@@ -109,6 +109,10 @@ class LinearModel:
         return softmax(features.dot(self.weights) + self.bias)
 
 
+#: Tasks that the bounded rows of a fit are dealt to; each sends one gradient a round.
+FIT_TASKS = 8
+
+
 def train_linear(rows: DataFrame, classes: int, rounds: int = ROUNDS, rate: float = 0.05, decay: float = 1e-5) -> LinearModel:
     """Fit class probabilities to soft targets; rows have slots, values and target (array of shares).
 
@@ -144,5 +148,5 @@ def train_linear(rows: DataFrame, classes: int, rounds: int = ROUNDS, rate: floa
         step += decay * state
         squares += step**2
         state = state - rate * step / np.sqrt(squares)
-        shared.unpersist()
+        shared.destroy()
     return LinearModel(state[:-1], state[-1])

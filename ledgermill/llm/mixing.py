@@ -19,8 +19,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.hashed import LinearModel, feature_columns, text_features, train_linear
+from ledgermill.llm.hashed import FIT_TASKS, LinearModel, feature_columns, text_features, train_linear
 from ledgermill.llm.ragged import split_words, text_slices
+from ledgermill.llm.samples import in_sample
 from ledgermill.llm.vectors import SCHEMA, task_array, tree_sum
 from ledgermill.sources.paths import stored
 
@@ -52,8 +53,10 @@ def memberships(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", t
     kind = docs.schema[id_column].dataType.simpleString()
     source = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     targets = domain_targets(labels)
-    share = min(1.0, LABELLED_ROWS / max(1, labels.count()))
-    chosen = targets.where(F.pmod(F.xxhash64("label_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    # Stored first, so that their number is known: they go to the texts, not the texts to them.
+    chosen = stored(targets.where(in_sample(LABELLED_ROWS, labels.count(), "label_id")), "chosen-labels")
+    if chosen.count() <= 2 * LABELLED_ROWS:
+        chosen = F.broadcast(chosen)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
@@ -61,7 +64,8 @@ def memberships(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", t
             yield pa.RecordBatch.from_arrays([*found, part.column("target")], names=["slots", "values", "target"])
 
     rows = source.join(chosen, source["id"] == F.col("label_id")).select("text", "target")
-    scorer = train_linear(stored(rows.mapInArrow(features, "slots array<int>, values array<float>, target array<double>"), "labelled"), len(DOMAINS), rate=0.2)
+    labelled = rows.mapInArrow(features, "slots array<int>, values array<float>, target array<double>")
+    scorer = train_linear(stored(labelled.repartition(FIT_TASKS), "labelled"), len(DOMAINS), rate=0.2)
     shared = docs.sparkSession.sparkContext.broadcast((scorer.weights, scorer.bias))
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,8 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.hashed import LinearModel, feature_columns, text_features, train_linear
+from ledgermill.llm.hashed import FIT_TASKS, LinearModel, feature_columns, text_features, train_linear
 from ledgermill.llm.ragged import split_words, text_bytes, text_slices
+from ledgermill.llm.samples import in_sample
 from ledgermill.sources.paths import stored
 
 NO_VOTE, POOR, GOOD = 0, 1, 2
@@ -185,9 +186,9 @@ def score_quality(docs: DataFrame, id_column: str = "doc_id", text_column: str =
                 names=["slots", "values", "target"],
             )
 
-    share = min(1.0, TRAINING_ROWS / max(1.0, total))
-    chosen = source.where((F.length("text") > 0) & (F.pmod(F.xxhash64("id", "text"), F.lit(1_000_000)) < int(share * 1_000_000)))
-    rows = stored(chosen.mapInArrow(labelled, "slots array<int>, values array<float>, target array<double>"), "labelled")
+    chosen = source.where((F.length("text") > 0) & in_sample(TRAINING_ROWS, total, "id", "text"))
+    features = chosen.mapInArrow(labelled, "slots array<int>, values array<float>, target array<double>")
+    rows = stored(features.repartition(FIT_TASKS), "labelled")
     scorer = train_linear(rows, 2)
     shared = docs.sparkSession.sparkContext.broadcast((scorer.weights, scorer.bias))
 
