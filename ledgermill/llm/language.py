@@ -229,8 +229,9 @@ class Labelled:
 
     words: Words
     path: np.ndarray
-    best: np.ndarray  # the unknown if it has more letters than any language
-    share: np.ndarray  # of the first language by letters
+    best: np.ndarray  # the language of most letters
+    share: np.ndarray  # of that language by letters
+    unknown: np.ndarray  # share of letters of no known language
     total: np.ndarray  # letters of each text
 
 
@@ -246,7 +247,7 @@ def labelled_texts(column: pa.Array, model: LanguageModel, known: dict[int, bool
     total = shares.sum(axis=1)
     best = shares[:, :width].argmax(axis=1)
     share = shares[np.arange(rows), best]
-    return Labelled(words, path, np.where(shares[:, width] > share, width, best), share / np.maximum(total, 1), total)
+    return Labelled(words, path, best, share / np.maximum(total, 1), shares[:, width] / np.maximum(total, 1), total)
 
 
 def label_languages(
@@ -256,15 +257,16 @@ def label_languages(
     text_column: str = "text",
     penalty: float = SWITCH_PENALTY,
 ) -> DataFrame:
-    """``id_column``, lang_pred, score and spans of each row.
+    """``id_column``, lang_pred, score, unknown and spans of each row.
 
     ``lang_pred`` is the language of most letters on the best path (at a tie the
     first by name), ``score`` the share of letters in it, ``spans`` the runs of
     words of one language (first word, words, language). A text that is NULL or
     has no letter is ``und`` with score 0 and no spans, as is every text if the
-    model knows no language. Letters of no known language count against the score
-    and are in no span; a text with more of them than of any language is ``und``
-    with score 0. Rows of equal or NULL id keep a result each.
+    model knows no language. ``unknown`` is the share of letters of no known language;
+    they count against the score and are in no span. A text of such letters alone
+    has score 0 and the first language by name. Rows of equal or NULL id keep a
+    result each.
     """
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.scores, model.allowed, model.background))
     kind = docs.schema[id_column].dataType.simpleString()
@@ -301,14 +303,15 @@ def label_languages(
                     part.column("id"),
                     pa.array(np.where(total > 0, names[best], UNKNOWN).tolist(), pa.string()),
                     pa.array(np.where((total > 0) & (names[best] != UNKNOWN), share, 0.0)),
+                    pa.array(np.where(total > 0, found.unknown, 0.0)),
                     pa.ListArray.from_arrays(pa.array(offsets), spans),
                 ],
-                names=[id_column, "lang_pred", "score", "spans"],
+                names=[id_column, "lang_pred", "score", "unknown", "spans"],
             )
 
     return docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).mapInArrow(
         labelled,
-        f"`{id_column}` {kind}, lang_pred string, score double, "
+        f"`{id_column}` {kind}, lang_pred string, score double, unknown double, "
         "spans array<struct<first_word: bigint, n_words: bigint, lang: string>>",
     )
 
@@ -316,14 +319,14 @@ def label_languages(
 def keep_languages(
     docs: DataFrame, model: LanguageModel, least: float, text_column: str = "text", penalty: float = SWITCH_PENALTY
 ) -> DataFrame:
-    """The rows whose text has a known language with at least the share ``least`` of its letters."""
+    """The rows whose text has a known language with at least the share ``least`` of its letters, and no more unknown ones."""
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.scores, model.allowed, model.background))
 
     def wanted(column: pa.Array) -> np.ndarray:
         if not shared.value[0]:
             return np.zeros(len(column), bool)
         found = labelled_texts(column, LanguageModel(*shared.value), {}, penalty)
-        return (found.total > 0) & (found.share >= least)
+        return (found.total > 0) & (found.share >= least) & (found.unknown <= found.share)
 
     return keep_rows(docs, text_column, wanted)
 

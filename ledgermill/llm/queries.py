@@ -56,7 +56,7 @@ def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, learned from three of four of them."""
     docs = table(spark, folder, "documents")
     model = train_language_model(docs.where(~held_out("doc_id", 4, 2)))
-    return label_languages(docs, model).select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
+    return label_languages(docs, model).select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score", "unknown")
 
 
 #: The rules of the query.

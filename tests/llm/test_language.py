@@ -1,11 +1,13 @@
 """Languages on held-out texts, spans of mixed ones, and the odd cases."""
 
 import random
+from itertools import product
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgermill.llm.language import held_out, keep_languages, label_languages, train_language_model
+from ledgermill.llm.language import best_paths, held_out, keep_languages, label_languages, train_language_model
 
 WORDS = {
     "en": "the cat sat there with thing other when what house mother water reading".split(),
@@ -80,7 +82,29 @@ def test_texts_of_no_learned_language(spark, small_dir):
     texts = foreign | {10: known.text, 11: known.text[:200] + " " + foreign[2]}
     frame = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
     rows = {r.doc_id: r for r in label_languages(frame, model).collect()}
-    assert all((rows[i].lang_pred, rows[i].score, rows[i].spans) == ("und", 0.0, []) for i in foreign)
+    # A text with a letter gets a learned language; that it is in none shows in the share of the unknown.
+    assert all(rows[i].lang_pred in model.languages and rows[i].unknown > rows[i].score for i in foreign)
+    assert rows[10].unknown < 0.1
     assert rows[10].lang_pred == known.lang and rows[10].score > 0.9
     assert rows[11].lang_pred == known.lang and 0.5 < rows[11].score < 0.9
     assert [r.doc_id for r in keep_languages(frame, model, 0.4).orderBy("doc_id").collect()] == [10, 11]
+
+
+def test_best_paths_against_all_paths():
+    draw = np.random.default_rng(3)
+    for _ in range(60):
+        sizes = draw.integers(0, 5, 3)
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        scores = draw.normal(size=(bounds[-1], 3)).astype(np.float32)
+        path = best_paths(scores, bounds, 0.7)
+
+        def value(labels, rows):
+            changes = sum(a != b for a, b in zip(labels, labels[1:], strict=False))
+            # The last language is the unknown; to begin in it costs the penalty.
+            return sum(rows[i, k] for i, k in enumerate(labels)) - 0.7 * changes - 0.7 * (labels[0] == 2)
+
+        for low, high in zip(bounds, bounds[1:], strict=False):
+            if high > low:
+                rows = scores[low:high]
+                best = max(value(labels, rows) for labels in product(range(3), repeat=high - low))
+                assert abs(value(tuple(path[low:high]), rows) - best) < 1e-4
