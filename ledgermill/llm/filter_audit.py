@@ -2,7 +2,8 @@
 
 Each task computes the failed filters of its texts as a bit mask and leaves out the
 copies it has already seen with a smaller id. The other texts are dealt into ranges
-of the text order, whose bounds are prefixes that grow where many texts share one.
+of the text order, whose bounds are prefixes of sampled texts that grow where many
+texts share one.
 Each range inserts its whole texts into a compressed trie that holds the least id at
 its terminals: a row with a greater id fails filter E. Masks are then counted by
 part and label, and the figures of all orders follow from the counts of 32 masks.
@@ -10,7 +11,7 @@ part and label, and the figures of all orders follow from the counts of 32 masks
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -20,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm.ordered import RANGES_PER_TASK, shuffle_tasks
@@ -32,10 +33,8 @@ DUPLICATE = 1 << FILTERS.index("E")
 MASKS = 1 << len(FILTERS)
 FEWEST_WORDS, LEAST_DISTINCT_PERCENT, MOST_CAPITALS_PERCENT = 200, 50, 2
 SIGNS = b"#$%&*|"
-#: Bytes that name a child when bounds are looked for; six fit a double exactly.
-STEP = 6
-#: Bytes behind a prefix that are compared to find how far its texts agree.
-REACH = 4096
+#: Distinct texts sampled for each range, and the bytes of each that bounds are made of.
+SAMPLED, REACH = 4, 2048
 ROWS_AT_ONCE = 1 << 16
 
 
@@ -129,97 +128,59 @@ class RadixTrie:
             stack.extend(node.children.values())
 
 
-def step_number(text: bytes) -> float:
-    return float(int.from_bytes(text[:STEP].ljust(STEP, b"\0"), "big"))
+@dataclass
+class TextRanges:
+    """Ranges of the text order between ascending prefixes; a range that holds many texts with one
+    beginning is dealt into several parts by the digest of the whole text, so copies stay together."""
 
+    bounds: list[bytes]
+    parts: list[int]
 
-def step_bytes(number: float) -> bytes:
-    return int(number).to_bytes(STEP, "big").rstrip(b"\0")
+    def __post_init__(self) -> None:
+        self.first = np.concatenate([[0], np.cumsum(self.parts)]).tolist()
 
+    def number(self, text: bytes, digest: bytes) -> int:
+        at = bisect_right(self.bounds, text)
+        return self.first[at] + (int.from_bytes(digest[:8], "big") % self.parts[at] if self.parts[at] > 1 else 0)
 
-def first_step(text: Column) -> Column:
-    data = F.substring(F.coalesce(text, F.lit("")).cast("binary"), 1, STEP)
-    return F.conv(F.rpad(F.hex(data), 2 * STEP, "0"), 16, 10).cast("double")
+    @property
+    def count(self) -> int:
+        return self.first[-1]
 
 
-def under_prefixes(column: pa.Array, prefixes: list[bytes]) -> Iterator[tuple[int, bytes]]:
-    """The number of the prefix that each text starts with, and the text; no prefix starts another."""
-    for text in pc.fill_null(column, "").cast(pa.binary()).to_pylist():
-        k = bisect_right(prefixes, text) - 1
-        if k >= 0 and text.startswith(prefixes[k]):
-            yield k, text
+def ranges_between(heads: list[bytes], count: int) -> TextRanges:
+    """About ``count`` ranges from the beginnings of sampled texts.
 
+    A bound is the shortest prefix that tells its text from the one before in the
+    order, so prefixes grow where many texts share one.
+    """
+    heads = sorted(heads)
+    parts = {b"": 1}
 
-def spread(found: list[float] | None, prefix: bytes) -> tuple[list[bytes], dict[bytes, int]]:
-    """Bounds by the quantiles of the bytes behind a prefix, and the prefixes that still hold many texts.
+    def bound(at: int) -> bytes:
+        return heads[at][: agreeing(heads[at - 1], heads[at]) + 1] if at else b""
+
+    for head, times in Counter(heads[i * len(heads) // count] for i in range(1, count) if heads).items():
+        start, behind = bisect_left(heads, head), bisect_right(heads, head)
+        parts[bound(start)] = times
+        if times > 1 and behind < len(heads):
+            parts.setdefault(bound(behind), 1)
+    bounds = sorted(parts)
+    return TextRanges(bounds[1:], [parts[b] for b in bounds])
 
-    Texts that end within the step are not followed further.
-    """
-    bounds, hot = [], {}
-    for number, times in Counter(found or []).items():
-        bounds.append(prefix + step_bytes(number))
-        if times > 1 and len(step_bytes(number)) == STEP:
-            hot[prefix + step_bytes(number)] = times
-            if number < 256**STEP - 1:
-                bounds.append(prefix + step_bytes(number + 1))
-    return bounds, hot
-
-
-def prefix_bounds(docs: DataFrame) -> list[bytes]:
-    """Ascending prefixes that part the texts of a frame (``text``) into ranges, about four for each shuffle task.
-
-    Quantiles of the first bytes come first. A prefix that fills several quantiles is
-    followed to where its texts part and spread by the bytes there, again and again;
-    only its own texts are read for that. A single text that fills quantiles stays whole.
-    """
-    ranges = shuffle_tasks(docs) * RANGES_PER_TASK
-    shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
-    key = first_step(F.col("text"))
-    found = docs.select(F.percentile_approx(key, shares, 10 * ranges)).first()[0]
-    bounds, hot = spread(found, b"")
-    while hot:
-        prefixes = sorted(hot)
-        texts = docs.where(key.isin(sorted({step_number(p) for p in prefixes}))).select("text")
-
-        def ends(batches: Iterator[pa.RecordBatch], prefixes=prefixes) -> Iterator[pa.RecordBatch]:
-            low: dict[int, bytes] = {}
-            high: dict[int, bytes] = {}
-            for part in text_slices(batches):
-                for k, text in under_prefixes(part.column("text"), prefixes):
-                    rest = text[len(prefixes[k]) :][:REACH]
-                    low[k], high[k] = min(low.get(k, rest), rest), max(high.get(k, rest), rest)
-            numbers = sorted(low)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(numbers, pa.int32()), pa.array([low[k] for k in numbers], pa.binary()), pa.array([high[k] for k in numbers], pa.binary())],
-                names=["k", "low", "high"],
-            )
 
-        limits = texts.mapInArrow(ends, "k int, low binary, high binary").groupBy("k").agg(F.min("low").alias("low"), F.max("high").alias("high")).collect()
-        longer = {}
-        for row in limits:
-            low, high = bytes(row["low"]), bytes(row["high"])
-            if low == high and len(low) < REACH:
-                continue
-            longer[prefixes[row["k"]] + low[: agreeing(low, high)]] = hot[prefixes[row["k"]]]
-        if not longer:
-            break
-        starts, most = sorted(longer), max(longer.values())
-
-        def steps(batches: Iterator[pa.RecordBatch], starts=starts) -> Iterator[pa.RecordBatch]:
-            for part in text_slices(batches):
-                rows = [(k, step_number(text[len(starts[k]) :])) for k, text in under_prefixes(part.column("text"), starts)]
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.float64())], names=["k", "step"])
-
-        cuts = F.array(*[F.lit(i / (most + 1)) for i in range(1, most + 1)])
-        spreads = texts.mapInArrow(steps, "k int, step double").groupBy("k").agg(F.percentile_approx("step", cuts, 10 * most).alias("found")).collect()
-        hot = {}
-        for row in spreads:
-            start = starts[row["k"]]
-            every = max(1, most // longer[start])
-            more, still = spread(row["found"][::every], start)
-            bounds += [start, *more]
-            hot |= still
-    return sorted(set(bounds) - {b""})
+def text_ranges(docs: DataFrame) -> TextRanges:
+    """Ranges of the texts of a frame (``text``), about ``RANGES_PER_TASK`` for each shuffle task.
+
+    They follow the beginnings of a sample of the distinct texts, chosen by hash, so
+    copies weigh once: at most about ``SAMPLED`` beginnings of ``REACH`` bytes for each range.
+    """
+    count = shuffle_tasks(docs) * RANGES_PER_TASK
+    data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    share = min(1.0, count * SAMPLED / max(docs.count(), 1))
+    chosen = docs.select(F.xxhash64(data).alias("h"), data.alias("data")).where(F.col("h") < min(-(2**63) + int(share * 2**64), 2**63 - 1))
+    heads = chosen.groupBy("h").agg(F.min(F.substring("data", 1, REACH)).alias("head")).collect()
+    return ranges_between([bytes(r["head"]) for r in heads], count)
 
 
 def failed_filters(docs: DataFrame, id_column: str = "doc_id", part_column: str = "source", text_column: str = "text") -> DataFrame:
@@ -231,7 +192,7 @@ def failed_filters(docs: DataFrame, id_column: str = "doc_id", part_column: str
     """
     rows = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(part_column).cast("string"), F.lit("")).alias("part"), F.col(text_column).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    bounds = prefix_bounds(rows)
+    ranges = text_ranges(rows)
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, object] = {}
@@ -257,11 +218,11 @@ def failed_filters(docs: DataFrame, id_column: str = "doc_id", part_column: str
                     counted[key, name, mask, digest] += 1
             out = list(counted)
             # Rows that are settled go to any range.
-            ranges = [bisect_right(bounds, texts[place[d]]) if d else (turn + i) % (len(bounds) + 1) for i, (_, _, _, d) in enumerate(out)]
+            numbers = [ranges.number(texts[place[d]], d) if d else (turn + i) % ranges.count for i, (_, _, _, d) in enumerate(out)]
             turn += len(out)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(ranges, pa.int32()),
+                    pa.array(numbers, pa.int32()),
                     pa.array([o[0] for o in out], key_type),
                     pa.array([o[1] for o in out], pa.string()),
                     pa.array([o[2] for o in out], pa.int32()),

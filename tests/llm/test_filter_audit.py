@@ -7,7 +7,7 @@ from itertools import permutations
 
 import pytest
 
-from ledgermill.llm.filter_audit import FIGURES, RadixTrie, audit_filters
+from ledgermill.llm.filter_audit import FIGURES, RadixTrie, audit_filters, ranges_between
 
 SCHEMA = "doc_id bigint, text string, source string, n int, part string, id string"
 
@@ -91,3 +91,22 @@ def test_trie_holds_whole_texts():
     assert later[-1] == [(7, "p", 0, 1)] and not any(later[:-1])
     assert trie.insert(b"ab", 1, "q", 3, 2) == [(2, "p", 0, 1)]
     assert sorted(k for k, *_ in trie.firsts()) == [0, 1, 1, 3, 4, 5, 6]
+
+
+def test_ranges_part_texts_that_share_a_beginning():
+    draw = random.Random(3)
+    same = b"one beginning " * 40
+    heads = [same + bytes(draw.choices(range(65, 91), k=20)) for _ in range(400)] + [bytes(draw.choices(range(65, 91), k=9)) for _ in range(200)]
+    ranges = ranges_between(heads, 60)
+    counts = Counter(ranges.number(h, b"") for h in heads)
+    assert max(counts.values()) <= 12 and ranges.count >= 55
+    assert [ranges.number(h, b"") for h in sorted(heads)] == sorted(ranges.number(h, b"") for h in heads)
+
+
+def test_ranges_of_one_beginning_are_dealt_by_digest():
+    heads = [b"a" * 2048] * 300 + [b"b", b"c"]
+    ranges = ranges_between(heads, 40)
+    numbers = Counter(ranges.number(b"a" * 3000, bytes([i]) * 8) for i in range(256))
+    assert len(numbers) > 30 and max(numbers.values()) < 20
+    assert ranges.number(b"b", b"") not in numbers
+    assert ranges_between([], 8).count == 1
