@@ -7,6 +7,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgermill.operators.cascade import BANK_REFERENCES
 from ledgermill.operators.integrity import integrity_report
 from ledgermill.operators.profiling import amount_statistics, column_nulls
 from ledgermill.plans import gold, integrate, jobs, marts
@@ -32,7 +33,8 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--as-of", type=date.fromisoformat, default=date.today())
     sub.add_argument("--limit", type=int, help="only a sample of so many rows")
     sub.add_argument("--seed", type=int, default=0)
-    command("silver", "entity_path", "base_path")
+    sub = command("silver", "entity_path", "base_path")
+    sub.add_argument("--references", action="store_true", help="reject rows whose parent is missing or rejected")
     sub = command("gold", "base_path")
     sub.add_argument("--as-of", type=date.fromisoformat, default=date.today())
     command("integrity", "entity_path")
@@ -88,7 +90,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             frame.show(truncate=False)
         print("malformed lines:", result.malformed.count())
     elif args.command == "silver":
-        for outcome in jobs.bronze_to_silver(spark, args.entity_path, args.base_path, now).values():
+        references = BANK_REFERENCES if args.references else ()
+        outcomes = jobs.bronze_to_silver(spark, args.entity_path, args.base_path, now, references)
+        for outcome in outcomes.values():
             print(outcome)
     elif args.command == "gold":
         result = jobs.silver_to_gold(spark, args.base_path, args.as_of, now)

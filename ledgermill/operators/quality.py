@@ -114,33 +114,37 @@ def write_gated(
     run_ts: datetime,
     partition_by: Sequence[str] = (),
     rejected_only: Sequence[str] = (),
+    helpers: Sequence[str] = (),
 ) -> GateOutcome:
     """Write the valid rows, and the rejected ones under the run that found them.
 
     The quarantine is partitioned by the run's time, and a run repeated replaces
     its own rejects, so none are counted twice.
 
-    Columns in ``rejected_only`` are kept with the rejected rows alone. The
-    counts are for the log: a stage run again after a lost executor may count
-    its rows twice, while both written tables stay exact.
-
-    Both counts are observed while the valid rows are written, so a clean input
-    is scanned once and only an input with rejects is scanned again.
+    Columns in ``rejected_only`` are kept with the rejected rows alone, those in
+    ``helpers`` with none. Rejects are observed while the valid rows are written,
+    so a clean input is scanned once and only an input with rejects is scanned
+    again. An observed figure may count rows of a repeated stage twice; the counts
+    returned are therefore those in the footers of the written files.
     """
     _require(df, gate)
     holds = F.coalesce(gate.holds(), F.lit(False))
     seen = Observation(f"gate_{gate.entity}")
-    counted = df.observe(
-        seen,
-        F.count_if(holds).alias("valid_rows"),
-        F.count_if(~holds).alias("rejected_rows"),
-    )
-    overwrite_parquet(counted.filter(holds).drop(*rejected_only), valid_path, partition_by)
-    valid, rejected = seen.get["valid_rows"], seen.get["rejected_rows"]
-    run_path = f"{quarantine_path}/run={run_ts:%Y%m%dT%H%M%S%f}"
-    if rejected:
-        overwrite_parquet(rejected_rows(df, gate, run_ts), run_path)
-    return GateOutcome(gate.entity, valid, rejected)
+    counted = df.observe(seen, F.count_if(~holds).alias("rejected_rows"))
+    valid = counted.filter(holds).drop(*rejected_only, *helpers)
+    overwrite_parquet(valid, valid_path, partition_by)
+    rejected = 0
+    if seen.get["rejected_rows"]:
+        failed = rejected_rows(df, gate, run_ts).drop(*helpers)
+        run_path = f"{quarantine_path}/run={run_ts:%Y%m%dT%H%M%S%f}"
+        overwrite_parquet(failed, run_path)
+        rejected = _written(failed, run_path)
+    return GateOutcome(gate.entity, _written(valid, valid_path), rejected)
+
+
+def _written(df: DataFrame, path: str) -> int:
+    """Rows of a table just written, from the footers of its files."""
+    return df.sparkSession.read.schema(df.schema).parquet(path).count()
 
 
 def with_reference_check(

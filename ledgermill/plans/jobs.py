@@ -6,6 +6,7 @@ and returns what it did. The only actions are the writes.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgermill.functions import dates
+from ledgermill.operators.cascade import Reference, cascade
 from ledgermill.operators.integrity import layer_counts
 from ledgermill.operators.profiling import amount_statistics, columns_with_gaps
 from ledgermill.operators.quality import GATES, Gate, GateOutcome, write_gated
@@ -31,7 +33,7 @@ from ledgermill.sources.sinks import (
     write_first,
 )
 from ledgermill.sources.warehouse import Warehouse, read_table, write_table
-from ledgermill.streaming import decode, sinks, volume
+from ledgermill.streaming import decode, ledger, sinks, volume
 
 
 @dataclass
@@ -98,34 +100,43 @@ def raw_to_bronze(spark: SparkSession, raw_path: str, out_path: str) -> None:
 
 
 def bronze_to_silver(
-    spark: SparkSession, entity_path: str, out_path: str, run_ts: datetime
+    spark: SparkSession,
+    entity_path: str,
+    out_path: str,
+    run_ts: datetime,
+    references: Sequence[Reference] = (),
 ) -> dict[str, GateOutcome]:
     """Type, band and gate every entity; facts are partitioned by month.
 
     A line that does not fit its schema is quarantined with its text, also for
     the entities that have no rules of their own, and so is a transaction whose
-    day cannot be read.
+    day cannot be read. With ``references`` (``BANK_REFERENCES`` for all keys of
+    the bank) a row whose parent is missing or rejected is rejected too.
     """
-    outcome: dict[str, GateOutcome] = {}
+    tables: dict[str, DataFrame] = {}
+    gates: dict[str, Gate] = {}
     for entity in ENTITIES:
         df = silver.to_silver(entity, files.read_entity(spark, entity_path, entity), run_ts)
-        partition_by: list[str] = []
         if entity in silver.FACT_DAY:
             df = silver.with_month(df, silver.FACT_DAY[entity])
-            partition_by = ["month"]
         gate = GATES.get(entity, Gate(entity, []))
         if entity == "transactions":
             gate = gate.with_rule("day is unreadable", "transaction_date IS NOT NULL")
-        outcome[entity] = write_gated(
-            df,
-            gate.with_rule("line is malformed", f"{CORRUPT} IS NULL"),
+        tables[entity] = df
+        gates[entity] = gate.with_rule("line is malformed", f"{CORRUPT} IS NULL")
+    return {
+        entity: write_gated(
+            checked.df,
+            checked.gate,
             f"{out_path}/silver/{entity}",
             f"{out_path}/quarantine/{entity}",
             run_ts,
-            partition_by,
+            ["month"] if entity in silver.FACT_DAY else [],
             rejected_only=[CORRUPT],
+            helpers=checked.helpers,
         )
-    return outcome
+        for entity, checked in cascade(tables, gates, references).items()
+    }
 
 
 @dataclass
@@ -271,11 +282,11 @@ def register_views(spark: SparkSession, base_path: str) -> list[str]:
 def branch_volume_stream(
     spark: SparkSession, servers: str, topic: str, out_path: str, checkpoint: str
 ) -> StreamingQuery:
-    """Start the windowed volume from the event topic into the lake.
+    """Start the windowed volume from the event topic into the lake, read by ``ledger.windows``.
 
     Events that cannot be routed are kept beside it, by a query of their own.
     """
     events = decode.decode(kafka.read_topic(spark, servers, topic))
     sinks.keep_events(decode.quarantined_events(events), f"{out_path}-quarantine", f"{checkpoint}-quarantine")
     cards = decode.typed_events(events, decode.CARD)
-    return sinks.to_lake(volume.stream_volume(cards), out_path, checkpoint)
+    return ledger.to_ledger(volume.stream_volume(cards), out_path, checkpoint)

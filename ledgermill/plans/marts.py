@@ -24,6 +24,7 @@ from ledgermill.functions.money import (
 )
 from ledgermill.functions.text import mapped
 from ledgermill.operators.allocation import allocate
+from ledgermill.operators.asof import asof_join, month_pane
 from ledgermill.operators.ranking import (
     distinguish_labels,
     latest_n,
@@ -496,6 +497,25 @@ def to_home_currency(
     return joined.withColumn("amount_home", F.rint(F.col("amount") * rate * 100) / 100).drop("rate")
 
 
+def to_home_currency_last_known(
+    transactions: DataFrame, rates: DataFrame, home: str = "INR"
+) -> DataFrame:
+    """Amounts in the home currency by the last rate known on the day; before the first there is none.
+
+    Only the days of each currency meet the rates; the transactions are joined
+    with the result, which is stored, so its size is known.
+    """
+    asked = transactions.select("currency", "transaction_date").distinct()
+    known = rates.withColumn("rate_known", F.col("rate_date"))
+    found = asof_join(
+        asked, known, ["currency"], "transaction_date", "rate_date", ["rate", "rate_known"], month_pane
+    )
+    found = stored(found.where(F.col("rate_known").isNotNull()), "last-rates")
+    joined = transactions.join(found, ["currency", "transaction_date"], "left")
+    rate = F.when(F.col("currency") == home, F.lit(1.0)).otherwise(F.col("rate"))
+    return joined.withColumn("amount_home", F.rint(F.col("amount") * rate * 100) / 100).drop("rate")
+
+
 def transaction_class(kind: Column | str = "transaction_type") -> Column:
     kind = bands.as_column(kind)
     return (

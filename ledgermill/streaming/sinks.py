@@ -62,7 +62,7 @@ def to_lake(
     def save(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    return _start(volume, save, checkpoint, available_now, state_partitions)
+    return start(volume, save, checkpoint, available_now, state_partitions)
 
 
 def to_lake_and_warehouse(
@@ -88,10 +88,10 @@ def to_lake_and_warehouse(
             .save()
         )
 
-    return _start(volume, save, checkpoint, available_now)
+    return start(volume, save, checkpoint, available_now)
 
 
-def _start(
+def start(
     volume: DataFrame,
     save: Callable[[DataFrame, int], None],
     checkpoint: str,
@@ -126,7 +126,10 @@ def latest_windows(spark: SparkSession, path: str) -> DataFrame:
 
 
 def late_rows_dropped(query: StreamingQuery) -> int:
-    """State rows dropped behind the watermark, over the kept progress reports."""
+    """State rows dropped behind the watermark, over the kept progress reports.
+
+    ``late.LateRows`` counts over all reports.
+    """
     return sum(
         operator.numRowsDroppedByWatermark
         for progress in query.recentProgress

@@ -1095,6 +1095,94 @@ add(
               WHEN cost_income_ratio < hi THEN 'Typical' ELSE 'High Cost' END AS cost_band
        FROM branch_mart, cuts""",
 )
+add(
+    "home_currency_last_known",
+    f"""WITH rate_days AS (SELECT DISTINCT CAST("timestamp" AS DATE) AS rate_date FROM transactions
+                           WHERE day("timestamp") % 3 = 2),
+       day_rates AS (SELECT rate_date, currency, base + day(rate_date) AS rate
+                 FROM rate_days, (VALUES ('USD', 80), ('EUR', 90)) AS c(currency, base)),
+       foreign_rows AS (SELECT transaction_id, amount, CAST("timestamp" AS DATE) AS transaction_date,
+                        ['INR', 'USD', 'EUR', 'GBP'][1 + transaction_id % 4] AS currency
+                 FROM transactions)
+       SELECT d.currency, {day('transaction_date')} AS transaction_date, transaction_id, amount,
+              {day('rate_date')} AS rate_known,
+              CASE WHEN d.currency = 'INR' THEN amount
+                   ELSE round_even(amount * rate * 100, 0) / 100 END AS amount_home
+       FROM foreign_rows d ASOF LEFT JOIN day_rates r
+            ON d.currency = r.currency AND d.transaction_date >= r.rate_date""",
+)
+add(
+    "last_deposit_before",
+    f"""WITH deposits AS (SELECT customer_id, "timestamp" AS at, max(transaction_id) AS deposit_id,
+                                arg_max(amount, transaction_id) AS deposit_amount
+                         FROM transactions WHERE transaction_type = 'DEPOSIT' GROUP BY 1, 2)
+       SELECT transaction_id, t.customer_id, {second('t."timestamp"')} AS "timestamp",
+              deposit_id, deposit_amount
+       FROM transactions t ASOF LEFT JOIN deposits d
+            ON t.customer_id = d.customer_id AND t."timestamp" >= d.at""",
+)
+add("branch_volume_ledger", _VOLUME)
+_GIVEN = f"""WITH odds AS (
+         SELECT *, 1 / (1 + exp(-(-4.0e0 + outstanding_balance * 4e-06 + interest_rate * 3e0
+                + account_balance * -1e-07 + annual_income * -5e-07
+                + loan_to_income_ratio * 0.25e0))) AS p FROM features),
+       held AS (SELECT *, round_even(p * 1e9, 0) / 1e9 AS default_probability FROM odds),
+       given AS (SELECT *, {below('default_probability', bands.RISK_RATINGS, 'Critical')}
+                 AS risk_rating FROM held)
+       """
+add(
+    "loan_scores_given",
+    _GIVEN
+    + f"""SELECT loan_id, customer_id, branch_id, loan_type, outstanding_balance, interest_rate,
+              loan_to_income_ratio, default_probability, risk_rating,
+              CASE WHEN risk_rating IN ('High', 'Critical') THEN 'Action Needed: Credit Review'
+                   WHEN risk_rating = 'Moderate' THEN 'Monitor Performance'
+                   ELSE 'Healthy Credit' END AS risk_action_recommendation,
+              '{RUN}' AS ml_evaluated_at FROM given""",
+)
+add(
+    "interventions_given",
+    _GIVEN
+    + """SELECT branch_id, loan_id, customer_id, outstanding_balance, default_probability
+         FROM given WHERE risk_rating IN ('High', 'Critical')""",
+)
+add("monthly_revenue_refreshed", "SELECT * FROM revenue_months")
+
+
+def _broken(condition: str, name: str) -> str:
+    return f"CASE WHEN NOT coalesce({condition}, false) THEN '{name}' END"
+
+
+def _refers(key: str, parent: str, gate: str) -> str:
+    return (
+        f"CASE WHEN {key} NOT IN (SELECT row_id FROM {gate}) THEN '{key} is not in {parent}' END, "
+        f"CASE WHEN {key} IN (SELECT row_id FROM {gate}) AND {key} NOT IN"
+        f" (SELECT row_id FROM {gate} WHERE violations = '')"
+        f" THEN '{key} is rejected in {parent}' END"
+    )
+
+
+add(
+    "cascade_gate",
+    f"""WITH gate_c AS (SELECT 'customers' AS entity, CAST(customer_id AS BIGINT) AS row_id,
+           concat_ws('; ', {_broken('account_balance >= 0', 'account_balance is negative')})
+           AS violations FROM customers),
+       gate_b AS (SELECT CAST(branch_id AS BIGINT) AS row_id, '' AS violations FROM branches),
+       gate_l AS (SELECT 'loans' AS entity, CAST(loan_id AS BIGINT) AS row_id, concat_ws('; ',
+           {_broken('interest_rate >= 0', 'interest_rate is negative')},
+           {_broken('interest_rate <= 30', 'interest_rate is too high')},
+           {_refers('customer_id', 'customers', 'gate_c')}) AS violations FROM loans),
+       gate_r AS (SELECT 'revenue' AS entity, CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS row_id,
+           concat_ws('; ', {_refers('loan_id', 'loans', 'gate_l')}) AS violations
+           FROM (SELECT *, l_orderkey AS loan_id FROM lineitem)),
+       gate_t AS (SELECT 'transactions' AS entity, CAST(transaction_id AS BIGINT) AS row_id,
+           concat_ws('; ', {_broken('amount > 0', 'amount is not positive')},
+           {_refers('customer_id', 'customers', 'gate_c')},
+           {_refers('branch_id', 'branches', 'gate_b')}) AS violations FROM transactions)
+       SELECT * FROM (SELECT * FROM gate_c UNION ALL SELECT * FROM gate_l
+                      UNION ALL SELECT * FROM gate_r UNION ALL SELECT * FROM gate_t)
+       WHERE violations <> ''""",
+)
 
 
 def oracle_texts() -> dict[str, str]:

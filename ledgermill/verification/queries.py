@@ -13,6 +13,8 @@ from ledgermill.drivertables import BankTables
 from ledgermill.functions import bands, dates, draws
 from ledgermill.functions.money import sum_money
 from ledgermill.operators import (
+    asof,
+    cascade,
     integrity,
     profiling,
     quality,
@@ -20,10 +22,11 @@ from ledgermill.operators import (
     sampling,
     surrogate,
 )
-from ledgermill.plans import gold, integrate, marts, risk, silver
+from ledgermill.plans import gold, integrate, marts, monthly, risk, scoring, silver
 from ledgermill.schemas import FOREIGN_KEYS, PRIMARY_KEYS, RAW_ID_PREFIX
 from ledgermill.sources.paths import fresh_folder, stored
-from ledgermill.streaming import decode, sinks, volume
+from ledgermill.sources.sinks import overwrite_parquet
+from ledgermill.streaming import decode, ledger, sinks, volume
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +35,7 @@ RUN_TS = datetime(2024, 6, 30, 12, 0, 0)
 DRILL_BRANCH = 7
 COSTLY = 2500
 THRESHOLDS = [0.25, 0.55, 0.80]
+GIVEN_SCORER = scoring.Scorer(-4.0, (4e-06, 3.0, -1e-07, -5e-07, 0.25))
 
 REGISTRY: dict[str, Query] = {}
 
@@ -784,6 +788,24 @@ def branch_volume_stream(bank):
     return sinks.latest_windows(spark, out)
 
 
+@query
+def branch_volume_ledger(bank):
+    """The windows of a stream of many batches through the ledger, compacted once it has ended."""
+    spark = bank.spark
+    parts = fresh_folder(spark, "volume-parts")
+    # As many batches as files; within a batch the windows are updated, not repeated.
+    bank.table("events").repartition(4, "event_id").write.parquet(parts)
+    stream = spark.readStream.schema(bank.table("events").schema).option("maxFilesPerTrigger", 1).parquet(parts)
+    streamed = BankTables(spark, bank.folder)
+    streamed._tables["events"] = stream
+    out, checkpoint = fresh_folder(spark, "ledger"), fresh_folder(spark, "ledger-state")
+    # No row is late: the batches are not in the order of time.
+    windowed = volume.stream_volume(_card_events(streamed), lateness="36500 days")
+    ledger.to_ledger(windowed, out, checkpoint, True, spark.sparkContext.defaultParallelism).awaitTermination()
+    ledger.compact(spark, out)
+    return ledger.windows(spark, out)
+
+
 @query
 def branch_surges(bank):
     """Surges over ten regions of customers, as single branches are too quiet."""
@@ -834,6 +856,44 @@ def home_currency(bank):
     return marts.to_home_currency(foreign, rates)
 
 
+@query
+def home_currency_last_known(bank):
+    """Transactions in four currencies by the last rate known, where two days of three have none."""
+    foreign = bank.transactions.select(
+        "transaction_id",
+        "amount",
+        F.element_at(
+            F.array(*[F.lit(c) for c in ("INR", "USD", "EUR", "GBP")]),
+            (F.col("transaction_id") % 4 + 1).cast("int"),
+        ).alias("currency"),
+        dates.day_of("timestamp").alias("transaction_date"),
+    )
+    day = dates.day_of("timestamp")
+    days = bank.transactions.where(F.dayofmonth(day) % 3 == 2).select(day.alias("rate_date")).distinct()
+    rates = days.select(
+        "rate_date",
+        F.explode(F.array(F.lit("USD"), F.lit("EUR"))).alias("currency"),
+    ).withColumn(
+        "rate", F.when(F.col("currency") == "USD", 80).otherwise(90) + F.dayofmonth("rate_date")
+    )
+    return marts.to_home_currency_last_known(foreign, rates)
+
+
+@query
+def last_deposit_before(bank):
+    """Every transaction with the last deposit of its customer at or before its time."""
+    rows = bank.transactions.select("transaction_id", "customer_id", "timestamp")
+    deposits = bank.transactions.where("transaction_type = 'DEPOSIT'").select(
+        "customer_id",
+        "timestamp",
+        F.col("transaction_id").alias("deposit_id"),
+        F.col("amount").alias("deposit_amount"),
+    )
+    return asof.asof_join(
+        rows, deposits, ["customer_id"], "timestamp", "timestamp", ["deposit_id", "deposit_amount"]
+    )
+
+
 @query
 def transaction_classes(bank):
     return bank.transactions.groupBy(marts.transaction_class().alias("transaction_class")).agg(
@@ -885,6 +945,22 @@ def interventions(bank):
     return marts.interventions(_scores(bank))
 
 
+def _given_scores(bank: BankTables) -> DataFrame:
+    """Loans scored by given weights; held to nine decimals, as exponentials differ in the last digit."""
+    probability = F.rint(GIVEN_SCORER.probability() * 1e9) / 1e9
+    return scoring.scored(_features(bank), probability, RUN_TS)
+
+
+@query
+def loan_scores_given(bank):
+    return gold.loan_risk_view(_given_scores(bank))
+
+
+@query
+def interventions_given(bank):
+    return marts.interventions(_given_scores(bank))
+
+
 @query
 def revenue_by_segment(bank):
     return marts.revenue_by_segment(bank.revenue, bank.customers)
@@ -928,3 +1004,51 @@ def percentile_bands(bank):
             "cost_band"
         ),
     )
+
+
+CASCADE = (
+    cascade.Reference("loans", "customer_id", "customers", "customer_id"),
+    cascade.Reference("revenue", "loan_id", "loans", "loan_id"),
+    cascade.Reference("transactions", "customer_id", "customers", "customer_id"),
+    cascade.Reference("transactions", "branch_id", "branches", "branch_id"),
+)
+
+
+@query
+def cascade_gate(bank):
+    """Rejected rows over three levels: customers, their loans, the revenue of those; and transactions."""
+    tables = {
+        "revenue": bank.revenue_lines.withColumnRenamed("l_orderkey", "loan_id"),
+        "transactions": bank.transactions,
+        "loans": bank.loans,
+        "branches": bank.branches,
+        "customers": bank.customers,
+    }
+    ids = {"revenue": "revenue_id", "transactions": "transaction_id", "loans": "loan_id"}
+    ids |= {"branches": "branch_id", "customers": "customer_id"}
+    checked = cascade.cascade(tables, quality.GATES, CASCADE)
+    return integrity.union_all(
+        [
+            c.rejected(RUN_TS).select(
+                F.lit(name).alias("entity"),
+                F.col(ids[name]).cast("bigint").alias("row_id"),
+                F.array_join("violations", "; ").alias("violations"),
+            )
+            for name, c in checked.items()
+        ]
+    )
+
+
+@query
+def monthly_revenue_refreshed(bank):
+    """Monthly revenue kept up to date: a first run without some lines, a second that reads changed months."""
+    spark = bank.spark
+    source, mart = fresh_folder(spark, "silver-revenue"), fresh_folder(spark, "monthly-revenue")
+    lines = silver.with_month(bank.revenue_lines.drop("l_orderkey"), "event_date")
+    early = (F.col("month") >= "1995") | (F.col("branch_id") % 2 == 0)
+    overwrite_parquet(lines.where(early), source, ["month"])
+    monthly.refresh_months(spark, source, mart, marts.monthly_revenue)
+    overwrite_parquet(lines.where("month < '1995'"), source, ["month"], only_given_partitions=True)
+    monthly.refresh_months(spark, source, mart, marts.monthly_revenue)
+    schema = "branch_id bigint, revenue_type string, amount double, month string"
+    return monthly.stored_months(spark, mart, schema)

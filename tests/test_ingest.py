@@ -3,6 +3,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from ledgermill.operators.cascade import BANK_REFERENCES
 from ledgermill.plans import integrate, jobs
 from ledgermill.schemas import CORRUPT, WAREHOUSE
 from ledgermill.sources import files, sinks, warehouse
@@ -180,6 +181,20 @@ def test_silver_gate_and_layout(spark, lake):
     }
 
 
+def test_references_reject_rows_of_rejected_parents(spark, lake, tmp_path):
+    base, entity, _, _ = lake
+    outcome = jobs.bronze_to_silver(spark, str(entity), str(tmp_path), NOW, BANK_REFERENCES)
+    kept = {r[0] for r in spark.read.parquet(f"{tmp_path}/silver/customers").select("customer_id").collect()}
+    for name in ("transactions", "revenue", "loans"):
+        written = spark.read.parquet(f"{tmp_path}/silver/{name}")
+        assert {r[0] for r in written.select("customer_id").distinct().collect()} <= kept
+        rejected = spark.read.parquet(f"{tmp_path}/quarantine/{name}")
+        assert outcome[name].valid_rows == written.count() and outcome[name].rejected_rows == rejected.count()
+        reasons = {v for r in rejected.collect() for v in r.violations}
+        assert "customer_id is rejected in customers" in reasons
+        assert not [c for c in written.columns if c.startswith("_ref")]
+
+
 def test_gold_tables_and_fallback(spark, lake):
     base, _, _, result = lake
     assert set(result.tables) == set(WAREHOUSE) and result.scoring_error is None

@@ -1,11 +1,12 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgermill.sources import kafka
 from ledgermill.sources.warehouse import Warehouse
-from ledgermill.streaming import decode, sinks, volume
+from ledgermill.streaming import decode, ledger, late, sinks, volume
 
 
 def card(i, when, amount=10.0, branch="BR_001"):
@@ -188,3 +189,82 @@ def test_surges(spark):
     )
     got = [(r.t[14:16], r.trailing_total) for r in volume.surges(df, 3, 3.0).collect()]
     assert sorted(got) == [("20", 4), ("22", 0)]
+
+
+def test_late_rows_are_counted_over_all_reports(spark, tmp_path):
+    """More reports than are kept: the late row is dropped early on and stays counted."""
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "2")
+    counter = late.LateRows.of(spark)
+    times = ["10:00:30", "11:00:00", "11:00:05", "10:00:45", *[f"11:0{i}:00" for i in range(1, 7)]]
+    (tmp_path / "in").mkdir()
+    try:
+        for i, t in enumerate(times):
+            (tmp_path / "in" / f"{i}.json").write_text(json.dumps(card(i, f"2024-01-01 {t}")) + "\n")
+            os.utime(tmp_path / "in" / f"{i}.json", (1e9 + i, 1e9 + i))
+        stream = kafka.read_json_files(spark, str(tmp_path / "in"), files_per_batch=1)
+        cards = decode.typed_events(decode.decode(stream), "CARD_TRANSACTION")
+        query = sinks.to_lake(volume.stream_volume(cards), str(tmp_path / "out"), str(tmp_path / "state"), available_now=True)
+        query.awaitTermination()
+        assert counter.dropped(query) == 5 and counter.reports(query) >= len(times)
+        assert sinks.late_rows_dropped(query) == 0
+    finally:
+        spark.conf.set(key, old)
+        spark.streams.removeListener(counter)
+
+
+def emitted(spark, counts):
+    rows = [(f"2024-01-01 10:0{m}:00", b, float(n), n) for (m, b), n in counts.items()]
+    df = spark.createDataFrame(rows, "t string, branch_id string, window_total_volume double, window_txn_count bigint")
+    start = F.to_timestamp("t")
+    return df.select(start.alias("window_start"), (start + F.expr("INTERVAL 5 MINUTES")).alias("window_end"), "branch_id", "window_total_volume", "window_txn_count")
+
+
+def counts_of(spark, path):
+    return {(r.window_start.minute, r.branch_id): r.window_txn_count for r in ledger.windows(spark, path).collect()}
+
+
+def test_ledger_replays_and_crashes(spark, tmp_path):
+    path = str(tmp_path / "lake")
+    with pytest.raises(ValueError):
+        ledger.windows(spark, path)
+    assert ledger.save_batch(emitted(spark, {(0, "a"): 1, (1, "a"): 1}), 0, path)
+    assert not ledger.save_batch(emitted(spark, {(0, "a"): 99}), 0, path)
+    # A crash between write and commit leaves a folder that no reader sees.
+    emitted(spark, {(0, "a"): 7}).write.parquet(ledger.Ledger(spark, path).folder(ledger.new_name("batch", 1)))
+    assert counts_of(spark, path) == {(0, "a"): 1, (1, "a"): 1}
+    assert ledger.save_batch(emitted(spark, {(0, "a"): 2, (0, "b"): 1}), 1, path)
+    # Two drivers that both commit a batch: one of them counts.
+    again = ledger.Ledger(spark, path)
+    name = ledger.new_name("batch", 1)
+    emitted(spark, {(0, "a"): 2, (0, "b"): 1}).write.parquet(again.folder(name))
+    again.commit(name)
+    want = {(0, "a"): 2, (1, "a"): 1, (0, "b"): 1}
+    assert counts_of(spark, path) == want and len(again.entries()) == 2
+
+
+def test_ledger_compaction_keeps_the_windows(spark, tmp_path):
+    path = str(tmp_path / "lake")
+    for number in range(4):
+        ledger.save_batch(emitted(spark, {(0, "a"): number + 1, (number, "b"): number}), number, path)
+    before = counts_of(spark, path)
+    assert ledger.compact(spark, path) and not ledger.compact(spark, path)
+    book = ledger.Ledger(spark, path)
+    assert [e.kind for e in book.entries()] == ["upto"] and counts_of(spark, path) == before
+    assert book.expire() == 8 and counts_of(spark, path) == before
+    assert not ledger.save_batch(emitted(spark, {(0, "a"): 50}), 2, path)
+    ledger.save_batch(emitted(spark, {(0, "a"): 50}), 4, path)
+    assert counts_of(spark, path) == {**before, (0, "a"): 50}
+
+
+def test_stream_through_the_ledger(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for i, t in enumerate(["10:00:30", "10:00:40", "10:01:10"]):
+        (tmp_path / "in" / f"{i}.json").write_text(json.dumps(card(i, f"2024-01-01 {t}")) + "\n")
+    cards = decode.typed_events(decode.decode(kafka.read_json_files(spark, str(tmp_path / "in"), files_per_batch=1)), "CARD_TRANSACTION")
+    out = str(tmp_path / "out")
+    ledger.to_ledger(volume.stream_volume(cards), out, str(tmp_path / "state"), available_now=True).awaitTermination()
+    rows = {str(r.window_start)[11:16]: r.window_txn_count for r in ledger.windows(spark, out).collect()}
+    assert rows["10:00"] == 3 and rows["09:56"] == 2 and len(rows) == 6
+    assert len(ledger.Ledger(spark, out).entries()) >= 3
