@@ -15,6 +15,8 @@ from ledgermill.llm.vectors import SCHEMA, task_array, tree_sum
 WORD_SLOTS = 1 << 16
 #: Kinds of bytes; three in a row give a shape.
 KINDS = 16
+#: Texts whose shapes are counted at once.
+BLOCK_ROWS = 256
 SLOTS = WORD_SLOTS + KINDS**3
 WORD_WEIGHT = 0.25
 ROUNDS = 40
@@ -53,6 +55,28 @@ class Features:
         )
 
 
+def shape_counts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Text number times the number of shapes plus shape, of each shape in a text, and how often it is there.
+
+    ``BLOCK_ROWS`` texts are counted at once, so the table of counts has a fixed size.
+    """
+    rows, size = len(offsets) - 1, KINDS**3
+    table = byte_kinds().astype(np.int32)
+    places, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for first in range(0, rows, BLOCK_ROWS):
+        ends = offsets[first : first + BLOCK_ROWS + 1]
+        kind = table[data[ends[0] : ends[-1]]]
+        if len(kind) < 3:
+            continue
+        owner = np.repeat(np.arange(len(ends) - 1, dtype=np.int32), np.diff(ends))
+        shapes = (kind[:-2] * KINDS + kind[1:-1]) * KINDS + kind[2:]
+        count = np.bincount((owner[:-2] * size + shapes)[owner[:-2] == owner[2:]])
+        there = np.flatnonzero(count)
+        places.append(there + first * size)
+        counts.append(count[there])
+    return np.concatenate(places), np.concatenate(counts)
+
+
 def text_features(column: pa.Array) -> Features:
     """Words present and shapes by the root of their share; a NULL or empty text has none."""
     rows = len(column)
@@ -60,15 +84,10 @@ def text_features(column: pa.Array) -> Features:
     slot = (word_hashes(words.vocabulary, 3) % np.uint64(WORD_SLOTS)).astype(np.int64)
     present = np.unique(words.document() * WORD_SLOTS + slot[words.codes]) if len(words.codes) else np.zeros(0, np.int64)
     data, offsets = text_bytes(column)
-    kind = byte_kinds()[data]
-    owner = np.repeat(np.arange(rows), np.diff(offsets))
-    shapes = (kind[:-2] * KINDS + kind[1:-1]) * KINDS + kind[2:] if len(kind) > 2 else np.zeros(0, np.int64)
-    whole = owner[:-2] == owner[2:] if len(kind) > 2 else np.zeros(0, bool)
+    found, counts = shape_counts(data, offsets)
     size = KINDS**3
-    counts = np.bincount((owner[: len(shapes)] * size + shapes)[whole], minlength=0)
-    found = np.flatnonzero(counts)
     totals = np.maximum(np.diff(offsets) - 2, 1)
-    share = np.sqrt(counts[found] / totals[found // size])
+    share = np.sqrt(counts / totals[found // size])
     keys = np.concatenate([present // WORD_SLOTS, found // size])
     slots = np.concatenate([present % WORD_SLOTS, WORD_SLOTS + found % size])
     values = np.concatenate([np.full(len(present), WORD_WEIGHT), share])
