@@ -185,5 +185,9 @@ def drift_index(
 
 
 def percentile_bounds(df: DataFrame, value: str, cuts: Sequence[float]) -> list[float]:
-    """Approximate percentiles to use as band bounds; a fixed-size sketch per task."""
-    return df.agg(F.percentile_approx(value, list(cuts), 10000)).first()[0]
+    """Exact discrete percentiles to use as band bounds: the smallest value whose cumulative
+    share reaches each cut, as SQL's percentile_disc; tasks count distinct values before the merge."""
+    exact = [
+        F.expr(f"percentile_disc({float(cut)!r}) WITHIN GROUP (ORDER BY `{value}`)") for cut in cuts
+    ]
+    return list(df.agg(*exact).first())
