@@ -3,7 +3,7 @@
 Words are weighted by how few documents hold them (counted over all documents). A
 randomised singular value decomposition of weighted passages, documents' and
 benchmark items together, gives a latent space; its products are summed over all
-partitions of a bounded sample of documents. Every window of every document is then
+partitions of all documents. Every window of every document is then
 compared with every item by cosine there. Candidates are confirmed by the longest
 common subsequence of words: an item found nearly whole counts, and one found in
 good part counts as a paraphrase if its answer, the last sentence, is there too.
@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm.ragged import Words, split_words, text_slices
-from ledgermill.llm.samples import in_sample
 from ledgermill.llm.vectors import SCHEMA, task_array, tree_sum
 from ledgermill.sources.paths import stored
 
@@ -31,8 +30,6 @@ DIMENSIONS, SPARE = 128, 8
 BLOCK_ITEMS, BLOCK_WORDS = 192, 20_000
 #: Blocks that are looked for in one pass over the documents.
 BLOCKS_AT_ONCE = 16
-#: Documents that a latent space is fitted on: about so many, chosen by a hash of id and text.
-FIT_DOCUMENTS = 4_096
 SCALES = (8, 16, 32, 64)
 FEWEST_WORDS = 5
 #: Text bytes whose distinct words are looked up together.
@@ -223,7 +220,7 @@ def fit_spaces(sample: DataFrame, blocks: list[Block], documents: int, counts: l
 
     Random directions are sent once through the product of the passages with
     their transpose and made orthogonal; a second product gives the singular
-    values. Items weigh as much together as all passages of the sample.
+    values. Items weigh as much together as all passages of the texts.
     """
     context = sample.sparkSession.sparkContext
     weights = [np.log((documents + 1) / (c + 1)) + 1 for c in counts]
@@ -326,8 +323,8 @@ def contaminated(
         nonlocal sample
         documents, counts = document_counts(source, blocks)
         if sample is None:
-            chosen = in_sample(FIT_DOCUMENTS, documents, "id", "text")
-            sample = stored(source.where(F.col("text").isNotNull() & chosen).select("text").coalesce(8), "fit-sample")
+            # The space is fitted on every text, stored once for the two passes of each block group.
+            sample = stored(source.where(F.col("text").isNotNull()).select("text"), "fit-texts")
         spaces = fit_spaces(sample, blocks, documents, counts)
         plans = []
         for block, space in zip(blocks, spaces, strict=True):

@@ -21,11 +21,10 @@ from pyspark.sql import functions as F
 
 from ledgermill.llm.hashed import FIT_TASKS, LinearModel, feature_columns, text_features, train_linear
 from ledgermill.llm.ragged import split_words, text_slices
-from ledgermill.llm.samples import in_sample
 from ledgermill.llm.vectors import SCHEMA, task_array, tree_sum
 from ledgermill.sources.paths import stored
 
-#: Labelled rows that the domain scorer is trained on: about so many, chosen by a hash of the id.
+#: The domain scorer learns from all labelled rows; up to twice so many go to the texts by broadcast.
 LABELLED_ROWS = 20_000
 ROUNDS = 60
 #: Weight of staying near a rate of one, against the squared miss of the targets.
@@ -54,7 +53,7 @@ def memberships(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", t
     source = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     targets = domain_targets(labels)
     # Stored first, so that their number is known: they go to the texts, not the texts to them.
-    chosen = stored(targets.where(in_sample(LABELLED_ROWS, labels.count(), "label_id")), "chosen-labels")
+    chosen = stored(targets, "chosen-labels")
     if chosen.count() <= 2 * LABELLED_ROWS:
         chosen = F.broadcast(chosen)
 

@@ -100,3 +100,15 @@ def test_items_that_end_in_a_decimal_or_an_abbreviation(spark):
     docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
     found = contaminated(docs, benchmark).collect()
     assert {(r.doc_id, r.item_id) for r in found} == {(10, 1), (20, 2)}
+
+
+def test_space_is_fitted_on_every_text(spark, small_dir, monkeypatch):
+    from ledgermill.llm import latent
+
+    seen = []
+    fit = latent.fit_spaces
+    monkeypatch.setattr(latent, "FIT_DOCUMENTS", 5, raising=False)
+    monkeypatch.setattr(latent, "fit_spaces", lambda sample, *a: seen.append(sample.count()) or fit(sample, *a))
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    contaminated(docs, spark.read.parquet(f"{small_dir}/benchmark.parquet")).count()
+    assert seen and set(seen) == {docs.where("text IS NOT NULL").count()}

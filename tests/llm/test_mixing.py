@@ -59,3 +59,18 @@ def test_odd_documents(spark, odd_docs, no_docs):
     unlabelled, _ = mix_documents(odd_docs, labels.limit(0), weights)
     assert all(r.p_clean == pytest.approx(1 / 3) for r in unlabelled.collect())
     assert mix_documents(no_docs, labels, weights)[0].count() == 0
+
+
+def test_scorer_learns_from_every_labelled_row(spark, monkeypatch):
+    from ledgermill.llm import mixing
+
+    folder = "/root/testdata/sf0.001"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    seen = []
+    train = mixing.train_linear
+    monkeypatch.setattr(mixing, "LABELLED_ROWS", 5)
+    monkeypatch.setattr(mixing, "train_linear", lambda rows, *a, **k: seen.append(rows.count()) or train(rows, *a, **k))
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    mixing.memberships(docs, labels).count()
+    expected = docs.join(mixing.domain_targets(labels), docs["doc_id"] == F.col("label_id")).count()
+    assert seen == [expected] and expected > 50
