@@ -19,12 +19,9 @@ from pyspark.sql import functions as F
 
 from ledgermill.llm.hashed import FIT_TASKS, LinearModel, feature_columns, text_features, train_linear
 from ledgermill.llm.ragged import split_words, text_bytes, text_slices
-from ledgermill.llm.samples import in_sample
 from ledgermill.sources.paths import stored
 
 NO_VOTE, POOR, GOOD = 0, 1, 2
-#: Rows with a posterior that the scorer is trained on: about so many, chosen by a hash of id and text.
-TRAINING_ROWS = 20_000
 ITERATIONS = 200
 #: Share of good texts taken for granted before any vote.
 GOOD_SHARE = 0.8
@@ -155,7 +152,7 @@ def score_quality(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     scorer's probability that the text is good, ``keep`` whether that is 0.5 or
     more. A NULL or empty text has no votes, posterior and score 0, and is not
     kept. Vote patterns are counted over all rows (at most ``3 ** LABELLERS`` come
-    to the driver); the scorer is trained on about ``TRAINING_ROWS`` of them.
+    to the driver); the scorer is trained on all rows with a text.
     """
     kind = docs.schema[id_column].dataType.simpleString()
     source = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
@@ -172,7 +169,6 @@ def score_quality(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     counts = np.array([r["count"] for r in counted], np.float64)
     patterns = codes[:, None] // 3 ** np.arange(LABELLERS) % 3
     model = fit_label_model(patterns, counts)
-    total = float(counts.sum())
 
     def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
@@ -186,7 +182,7 @@ def score_quality(docs: DataFrame, id_column: str = "doc_id", text_column: str =
                 names=["slots", "values", "target"],
             )
 
-    chosen = source.where((F.length("text") > 0) & in_sample(TRAINING_ROWS, total, "id", "text"))
+    chosen = source.where(F.length("text") > 0)
     features = chosen.mapInArrow(labelled, "slots array<int>, values array<float>, target array<double>")
     rows = stored(features.repartition(FIT_TASKS), "labelled")
     scorer = train_linear(rows, 2)

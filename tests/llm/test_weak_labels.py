@@ -39,3 +39,15 @@ def test_odd_documents(odd_docs, no_docs):
             assert (r.posterior, r.score, r.keep) == (0.0, 0.0, False)
         assert 0 <= r.score <= 1 and r.keep == (r.score >= 0.5)
     assert score_quality(no_docs).count() == 0
+
+
+def test_scorer_learns_from_every_text(spark, monkeypatch):
+    from ledgermill.llm import weak_labels
+
+    seen = []
+    train = weak_labels.train_linear
+    monkeypatch.setattr(weak_labels, "TRAINING_ROWS", 5, raising=False)
+    monkeypatch.setattr(weak_labels, "train_linear", lambda rows, *a, **k: seen.append(rows.count()) or train(rows, *a, **k))
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    score_quality(docs).count()
+    assert seen == [docs.where("length(text) > 0").count()]
