@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -126,13 +127,18 @@ def to_ledger(
     checkpoint: str,
     available_now: bool = False,
     state_partitions: int | None = None,
+    state: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
-    """Write every micro-batch of windowed volumes through the ledger of ``path``."""
+    """Write every micro-batch of windowed volumes through the ledger of ``path``.
+
+    ``state`` are settings of the state store, as ``ROCKSDB`` for windows that
+    stay open long; a checkpoint keeps the store it was begun with.
+    """
 
     def save(batch: DataFrame, batch_id: int) -> None:
         save_batch(batch, batch_id, path)
 
-    return start(volume, save, checkpoint, available_now, state_partitions)
+    return start(volume, save, checkpoint, available_now, state_partitions, state)
 
 
 def _latest(emitted: DataFrame) -> DataFrame:

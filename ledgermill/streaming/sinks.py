@@ -7,7 +7,7 @@ a batch again replaces it, which makes replays after a failure harmless.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +17,16 @@ from ledgermill.sources.warehouse import Warehouse
 
 KEYS = ["window_start", "window_end", "branch_id"]
 
-#: For state larger than memory.
+#: For state larger than memory: it lies on local disk, and all stores of an executor share a
+#: bounded native memory, which the overhead of the executor must hold.
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    )
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # Else every write looks its key up first, only to report how many rows there are.
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
 
 
@@ -97,7 +102,9 @@ def start(
     checkpoint: str,
     available_now: bool,
     state_partitions: int | None = None,
+    state: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
+    """Start a query with ``state`` as settings of its state store, else the session's."""
     writer = (
         volume.writeStream.outputMode("update")
         .foreachBatch(save)
@@ -105,16 +112,19 @@ def start(
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
-    if state_partitions is None:
-        return writer.start()
+    settings = dict(state or {})
+    if state_partitions is not None:
+        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
     # A started query keeps its own copy of the session's settings.
     conf = volume.sparkSession.conf
-    before = conf.get("spark.sql.shuffle.partitions")
-    conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    before = {key: conf.get(key, None) for key in settings}
     try:
+        for key, value in settings.items():
+            conf.set(key, value)
         return writer.start()
     finally:
-        conf.set("spark.sql.shuffle.partitions", before)
+        for key, value in before.items():
+            conf.unset(key) if value is None else conf.set(key, value)
 
 
 def latest_windows(spark: SparkSession, path: str) -> DataFrame:

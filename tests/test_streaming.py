@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ledgermill.sources import kafka
 from ledgermill.sources.warehouse import Warehouse
 from ledgermill.streaming import decode, ledger, late, sinks, volume
+from ledgermill.verification import queries
 
 
 def card(i, when, amount=10.0, branch="BR_001"):
@@ -268,3 +269,23 @@ def test_stream_through_the_ledger(spark, tmp_path):
     rows = {str(r.window_start)[11:16]: r.window_txn_count for r in ledger.windows(spark, out).collect()}
     assert rows["10:00"] == 3 and rows["09:56"] == 2 and len(rows) == 6
     assert len(ledger.Ledger(spark, out).entries()) >= 3
+
+
+def test_ledger_query_keeps_its_state_on_disk(spark, tmp_path, monkeypatch):
+    """Every window stays open, so none is held in memory; over its four batches none is lost."""
+    rows = [(i, f"2024-01-01 {i % 24:02d}:{i % 7:02d}:30", i % 5, "click", 1.0 + i) for i in range(200)]
+    events = spark.createDataFrame(rows, "event_id bigint, t string, user_id bigint, event_type string, value double")
+    events.withColumn("ts", F.to_timestamp_ntz("t")).drop("t").write.parquet(str(tmp_path / "events.parquet"))
+    spark.range(3).withColumnRenamed("id", "s_suppkey").write.parquet(str(tmp_path / "supplier.parquet"))
+    monkeypatch.setattr(queries, "fresh_folder", lambda _, purpose: str(tmp_path / purpose))
+    settings = {key: spark.conf.get(key, None) for key in (*sinks.ROCKSDB, "spark.sql.shuffle.partitions")}
+    got, want = (queries.REGISTRY[f"branch_volume_{kind}"](spark, str(tmp_path)).collect() for kind in ("ledger", "batch"))
+    assert {key: spark.conf.get(key, None) for key in settings} == settings
+    key = lambda r: (r.window_start, r.branch_id)
+    assert len(got) > 200 and sorted(got, key=key) == sorted(want, key=key)
+    batches = list((tmp_path / "ledger-state" / "offsets").glob("[0-9]*"))
+    assert len(batches) == 4
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    assert all(json.loads(b.read_text().splitlines()[1])["conf"][provider] == sinks.ROCKSDB[provider] for b in batches)
+    files = {p.suffix for p in (tmp_path / "ledger-state" / "state").rglob("*") if p.is_file()}
+    assert ".zip" in files and ".delta" not in files
