@@ -289,3 +289,16 @@ def test_ledger_query_keeps_its_state_on_disk(spark, tmp_path, monkeypatch):
     assert all(json.loads(b.read_text().splitlines()[1])["conf"][provider] == sinks.ROCKSDB[provider] for b in batches)
     files = {p.suffix for p in (tmp_path / "ledger-state" / "state").rglob("*") if p.is_file()}
     assert ".zip" in files and ".delta" not in files
+
+
+@pytest.mark.parametrize(("first", "then", "kind"), [(None, sinks.ROCKSDB, ".delta"), (sinks.ROCKSDB, None, ".zip")])
+def test_a_checkpoint_keeps_its_state_store(spark, tmp_path, first, then, kind):
+    out, state = str(tmp_path / "out"), tmp_path / "state"
+    (tmp_path / "in").mkdir()
+    for number, settings in enumerate((first, then)):
+        (tmp_path / "in" / f"{number}.json").write_text(json.dumps(card(number, "2024-01-01 10:00:30")) + "\n")
+        cards = decode.typed_events(decode.decode(kafka.read_json_files(spark, str(tmp_path / "in"))), "CARD_TRANSACTION")
+        ledger.to_ledger(volume.stream_volume(cards), out, str(state), True, 2, settings).awaitTermination()
+    assert [r.window_txn_count for r in ledger.windows(spark, out).collect()] == [2] * 5
+    files = {p.suffix for p in (state / "state").rglob("*") if p.is_file()}
+    assert files & {".delta", ".zip"} == {kind}
